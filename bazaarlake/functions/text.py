@@ -93,5 +93,5 @@ def non_blank(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of white space, not only spaces."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Trim every ASCII white space, not only spaces."""
+    return F.btrim(c, F.lit(" \t\n\r\x0b\x0c"))

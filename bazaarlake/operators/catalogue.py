@@ -44,5 +44,5 @@ def not_processed(df: DataFrame, processed: DataFrame, key: str) -> DataFrame:
 
 def word_count(df: DataFrame, text: str = "text") -> DataFrame:
     """Occurrences of each white-space separated word."""
-    words = df.select(F.explode(F.split(text, r"\s+")).alias("word")).filter("word != ''")
+    words = df.select(F.explode_outer(F.split(text, r"\s+")).alias("word")).filter("word != ''")
     return words.groupBy("word").agg(F.count("*").alias("n"))
