@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bazaarlake import schemas
-from bazaarlake.functions import keys
+from bazaarlake.functions import keys, numbers
 from bazaarlake.operators import catalogue, clean, conform, dedupe, ids, listing_html
 from bazaarlake.operators.skew import read_table, spread_scan
 from bazaarlake.plans import listings, truth
@@ -96,7 +96,7 @@ def dashboard_table(spark, sf_dir):
     """One document per product; descriptions are parsed only for the offers that are kept."""
     named = clean.name_and_price_a(listings.raw_a(spark, sf_dir))
     details = clean.details_a(dedupe.best_offer(named, tiebreak=["offer_key"]))
-    typed = conform.to_schema(details, schemas.INDEX_DOCUMENT.add("offer_key", "string"))
+    typed = conform.to_schema(details, schemas.with_text_column(schemas.INDEX_DOCUMENT, "offer_key"))
     return typed.drop("id")
 
 
@@ -237,8 +237,6 @@ def week_day_partitions(spark, sf_dir):
 )
 def price_logs(spark, sf_dir):
     """log10 of the price, back again, and a share in percent."""
-    from bazaarlake.functions import numbers
-
     lines = spread_scan(read_table(spark, sf_dir, "lineitem"))
     price = F.col("l_extendedprice")
     log = numbers.log_price(price)

@@ -150,6 +150,13 @@ _PAGE_FIELDS = _fields(
 )
 PAGE_STATE = _fields({"data": _fields({"root": _fields({"fields": _PAGE_FIELDS})})})
 
+
+
+def with_text_column(schema: T.StructType, name: str) -> T.StructType:
+    """A copy of a schema with one more text column."""
+    return T.StructType([*schema.fields, T.StructField(name, STRING)])
+
+
 # Columns whose gaps are filled with the table-wide mean.
 MEAN_FILLED = (
     "avg_rating",
