@@ -35,8 +35,10 @@ MARKUP_RULES = (
 )
 # Category names that contain a slash, rewritten so they do not look like levels.
 SLASHED_CATEGORIES = (
-    ("vớ/ ?tất", "vớ, tất"),
-    ("quần dài/ ?quần âu", "quần dài, quần âu"),
+    ("vớ/ tất", "vớ, tất"),
+    ("vớ/tất", "vớ, tất"),
+    ("quần dài/quần âu", "quần dài, quần âu"),
+    ("quần dài/ quần âu", "quần dài, quần âu"),
 )
 
 
