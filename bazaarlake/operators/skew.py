@@ -39,13 +39,13 @@ def lookup_join(
 ) -> DataFrame:
     """Equi-join against a lookup with at most one row per key.
 
-    A lookup under Spark's broadcast threshold is left to Spark. Otherwise both sides are shuffled,
-    and rows of hot keys are spread over all shuffle partitions: they get the number of their input
+    When Spark can broadcast a side that is under its threshold, the join is left to it. Otherwise
+    both sides are shuffled, and rows of hot keys are spread over all shuffle partitions: they get the number of their input
     partition as a second key, and the lookup rows of those few keys are repeated once per salt.
     ``how`` may be inner, left, left_semi or left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(lookup):
+    if fits_broadcast(lookup) or (how == "inner" and fits_broadcast(left)):
         return left.join(lookup, keys, how)
     for key in keys:
         if left.schema[key].dataType != lookup.schema[key].dataType:

@@ -1,0 +1,44 @@
+"""Registered queries against their SQL on the smallest data set."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+from check_queries import rows_of
+
+QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+SLOW = {"ml_lr_cv", "ml_rf", "ml_gbt"}
+
+
+@pytest.fixture(scope="module")
+def db(sf_dir):
+    connection = duckdb.connect()
+    for path in Path(sf_dir).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, sf_dir, db, name):
+    df = QUERIES[name](spark, sf_dir)
+    cursor = db.execute(SQL[name])
+    names = [d[0] for d in cursor.description]
+    assert sorted(df.columns) == sorted(names)
+    assert rows_of(df.columns, df.collect()) == rows_of(names, cursor.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
+def test_query_without_sql_gives_rows(spark, sf_dir, name):
+    assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_entry_gives_rows(spark):
+    assert entry_points.entry(spark).count() > 0
+
+
+def test_no_query_uses_python_workers(spark, sf_dir):
+    for name in ("best_offer", "model_table", "variants_nested", "enrich_by_url", "html_to_text"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "CartesianProduct" not in plan
