@@ -12,10 +12,17 @@ from bazaarlake.functions.numbers import to_int, to_long
 
 
 def _rewrite(c: Column, pattern: str, replacement: str) -> Column:
-    """Plain text is replaced as text, which is several times faster than as a pattern."""
-    if set(pattern) & set(".*?+|()[]{}^$\\"):
-        return F.regexp_replace(c, pattern, replacement)
-    return F.replace(c, F.lit(pattern), F.lit(replacement))
+    """Apply one rule in its fastest form.
+
+    Plain text is replaced as text. Alternatives that all begin with a plain character are guarded by a
+    look at that character, so that most positions fail at one test.
+    """
+    if not set(pattern) & set(".*?+|()[]{}^$\\"):
+        return F.replace(c, F.lit(pattern), F.lit(replacement))
+    first = {alternative[:1] for alternative in pattern.split("|")}
+    if len(first) > 1 and not first & set(".*?+()[]{}^$\\"):
+        pattern = f"(?=[{''.join(sorted(first))}])(?:{pattern})"
+    return F.regexp_replace(c, pattern, replacement)
 
 
 def apply_rules(c: Column, rules: tuple[tuple[str, str], ...]) -> Column:
