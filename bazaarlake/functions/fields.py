@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake import vocabulary as V
 from bazaarlake.functions import text
-from bazaarlake.functions.numbers import abbreviated_count, to_double, to_int
+from bazaarlake.functions.numbers import to_double, to_int
 
 
 def header_text(desc: Column, labels: V.StoreALabels = V.STORE_A) -> Column:
@@ -77,13 +77,9 @@ def badge_tier(shop: Column, labels: V.StoreALabels = V.STORE_A) -> Column:
     )
 
 
-def count_after(shop: Column, label: str) -> Column:
-    return abbreviated_count(line_after(shop, label))
-
-
-def last_count_after(shop: Column, label: str) -> Column:
-    """Like ``count_after`` for a label whose value may be the last line."""
-    return abbreviated_count(F.regexp_extract(shop, f"{label}\n(.+)", 1))
+def last_line_after(shop: Column, label: str) -> Column:
+    """Like ``line_after`` for a label whose value may be the last line."""
+    return F.regexp_extract(shop, f"{label}\n(.+)", 1)
 
 
 def percent_after(shop: Column, label: str) -> Column:
@@ -91,13 +87,12 @@ def percent_after(shop: Column, label: str) -> Column:
     return to_double(F.replace(line_after(shop, label), F.lit("%"), F.lit(""))) / 100
 
 
-def age_months(shop: Column, labels: V.StoreALabels = V.STORE_A) -> Column:
-    """Shop age in months: years count 12, months 1, everything else 0."""
-    line = line_after(shop, labels.joined)
-    number = to_int(F.regexp_extract(line, "[0-9]+", 0))
+def age_months(joined: Column, labels: V.StoreALabels = V.STORE_A) -> Column:
+    """Shop age in months from its 'joined' line: years count 12, months 1, everything else 0."""
+    number = to_int(F.regexp_extract(joined, "[0-9]+", 0))
     return (
-        F.when(line.contains(labels.year), number * 12)
-        .when(line.contains(labels.month), number)
+        F.when(joined.contains(labels.year), number * 12)
+        .when(joined.contains(labels.month), number)
         .otherwise(0)
     )
 

@@ -19,7 +19,15 @@ def name_and_price_a(raw: DataFrame) -> DataFrame:
 def details_a(df: DataFrame, labels: V.StoreALabels = V.STORE_A) -> DataFrame:
     """Every other store-A column; extra columns pass through."""
     shop = F.col("shop_info")
-    reduced = df.withColumn("_desc", text.markup_a(F.col("product_desc")))
+    # Text that several columns read is its own column, so that it is cut out once.
+    reduced = df.withColumns(
+        {
+            "_desc": text.markup_a(F.col("product_desc")),
+            "_reviews": fields.line_after(shop, labels.reviews),
+            "_followers": fields.last_line_after(shop, labels.followers),
+            "_joined": fields.line_after(shop, labels.joined),
+        }
+    )
     parsed = reduced.withColumns(
         {
             "_header": fields.header_text(F.col("_desc"), labels),
@@ -44,13 +52,13 @@ def details_a(df: DataFrame, labels: V.StoreALabels = V.STORE_A) -> DataFrame:
             "description": fields.free_text(F.col("_desc"), labels),
             "shop_name": fields.shop_name_a(shop, labels),
             "shop_like_tier": fields.badge_tier(shop, labels),
-            "shop_num_review": fields.count_after(shop, labels.reviews),
+            "shop_num_review": numbers.abbreviated_count(F.col("_reviews")),
             "shop_reply_percentage": fields.percent_after(shop, labels.reply_rate),
             "shop_reply_time": fields.line_after(shop, labels.reply_time),
-            "shop_creation_time": fields.age_months(shop, labels),
-            "shop_num_follower": fields.last_count_after(shop, labels.followers),
+            "shop_creation_time": fields.age_months(F.col("_joined"), labels),
+            "shop_num_follower": numbers.abbreviated_count(F.col("_followers")),
         }
-    ).drop("product_desc", "shop_info", "_desc", "_header", "_path")
+    ).drop("product_desc", "shop_info", "_desc", "_header", "_path", "_reviews", "_followers", "_joined")
 
 
 def clean_store_a(raw: DataFrame, labels: V.StoreALabels = V.STORE_A) -> DataFrame:

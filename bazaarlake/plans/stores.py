@@ -133,7 +133,7 @@ def csv_text_scan(spark, sf_dir):
     part = read_table(spark, sf_dir, "part").selectExpr(
         "p_partkey", "p_name", """concat('say "', p_brand, '", or') AS remark"""
     )
-    file_sinks.write_csv(part, folder, single_file=True)
+    file_sinks.write_csv(part, folder)
     return files.read_csv(spark, folder)
 
 

@@ -47,7 +47,7 @@ def values(spark, function, inputs):
             {"Yêu Thích+\nshop": "2", "Yêu Thích\nshop": "1", "shop": "0", None: "0"},
         ),
         (
-            fields.age_months,
+            lambda c: fields.age_months(fields.line_after(c, V.STORE_A.joined)),
             {"x\nTham Gia\n3 năm trước\ny": 36, "Tham Gia\n5 tháng\n": 5, "Tham Gia\n12 ngày\n": 0, None: 0},
         ),
         (
@@ -55,7 +55,7 @@ def values(spark, function, inputs):
             {"Tỉ Lệ Phản Hồi\n97%\n": 0.97, "none": None, None: None},
         ),
         (
-            lambda c: fields.last_count_after(c, V.STORE_A.followers),
+            lambda c: numbers.abbreviated_count(fields.last_line_after(c, V.STORE_A.followers)),
             {"Người Theo Dõi\n1,5k": 1500, "Người Theo Dõi\n12\nmore": 12, "": None},
         ),
         (fields.shop_name_a, {"Yêu Thích\nMy Shop\nOnline": "My Shop", "My Shop\n": "My Shop", "one": ""}),
