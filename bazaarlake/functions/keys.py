@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bazaarlake import vocabulary as V
-from bazaarlake.functions.text import strip
 
 
 def match_key(c: Column) -> Column:
