@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import mixing, url_rules, warc
+from bazaarlake.llm import mixing, simhash, url_rules, warc
 from bazaarlake.llm.storage import read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,13 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query(warc.SQL)
 def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to seekable bundles and read back."""
