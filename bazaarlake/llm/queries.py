@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import mixing, simhash, url_rules, warc
+from bazaarlake.llm import langid, mixing, simhash, toxicity, url_rules, warc
 from bazaarlake.llm.storage import read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,19 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op2_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return langid.identify(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@query()
+def op4_toxic_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 @query()
 def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
