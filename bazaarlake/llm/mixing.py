@@ -23,7 +23,7 @@ MOST_REPEATS = 3
 KNOTS = (0.0, 0.5, 1.0)
 SCHEDULES = ((1.5, 1.25, 0.5), (1.0, 1.0, 1.0), (0.5, 1.0, 1.5))
 # Rows of a source that one task numbers; larger sources are cut into as many ranges as they need.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 2_000
 
 
 def word_count(text: str | Column) -> Column:
