@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import langid, mixing, simhash, toxicity, url_rules, warc
+from bazaarlake.llm import decontaminate, langid, licenses, mixing, simhash, toxicity, url_rules, warc
 from bazaarlake.llm.storage import read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,13 @@ def op2_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+@query()
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and test item that it holds."""
+    items = decontaminate.split_items(read(spark, sf_dir, "benchmark", "item_id", "text"))
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents", "doc_id", "text"), items)
+
+
 @query()
 def op4_toxic_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
@@ -46,6 +53,12 @@ def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query()
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice in the documents."""
+    return licenses.scan_licenses(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query(warc.SQL)
 def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to seekable bundles and read back."""
