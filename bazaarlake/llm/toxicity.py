@@ -180,7 +180,8 @@ def score(docs: DataFrame, labels: DataFrame, order: int = ORDER, window: int =
     held_out = F.coalesce(remainder == 0, F.lit(True))
     train = labels.filter("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).filter(~held_out)
     train = write_table(train, "toxic-labels")
-    packed = pack_texts(docs.filter(~held_out)).join(train, "doc_id")
+    # Labels grow with the documents, so they are never broadcast.
+    packed = pack_texts(docs.filter(~held_out)).join(train.hint("merge"), "doc_id")
     counted = count_grams(packed, order).toPandas()
     ratios = log_ratios(*(counted[c].to_numpy() for c in ("gram", "ordinary", "toxic")), order, discount)
     raw = write_table(raw_scores(docs, ratios, order, window), "toxic-raw")
