@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontaminate, langid, licenses, mixing, simhash, toxicity, url_rules, warc
+from bazaarlake.llm import decontaminate, langid, licenses, mixing, neighbours, simhash, toxicity, url_rules, warc
 from bazaarlake.llm.storage import read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,13 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 @query()
 def op2_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
