@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontaminate, langid, licenses, mixing, neighbours, simhash, toxicity, url_rules, warc
+from bazaarlake.llm import decontaminate, langid, licenses, mixing, neighbours, simhash, suffix_dedup, toxicity, url_rules, warc
 from bazaarlake.llm.storage import read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,13 @@ def op4_toxic_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+@query()
+def op5_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings."""
+    found = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"), ["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
