@@ -193,6 +193,15 @@ def search(texts: list[str | None], index: Index, threshold: float) -> Iterator[
         yield from flush()
 
 
+def leaks(texts: list[str | None], index: Index, threshold: float) -> Iterator[tuple[int, int, tuple]]:
+    """(number of the text, item, (whole overlap, score, question and answer overlap)) of the passages that count."""
+    for number, item, score, words in search(texts, index, threshold):
+        question, answer, whole = index.verify(words, item)
+        parts = [s for s, p in ((question, index.questions[item]), (answer, index.answers[item])) if p]
+        if whole >= WHOLE_OVERLAP or (parts and min(parts) >= PART_OVERLAP):
+            yield number, item, (whole, score, question, answer)
+
+
 def _index_parts(items: DataFrame) -> Iterator[Index]:
     """Indexes of at most about INDEX_ITEMS items each; statistics are those of all items."""
 
@@ -231,13 +240,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD)
             index = shared.value
             for batch in batches:
                 ids, best = batch.column("doc_id").to_pylist(), {}
-                for number, item, score, words in search(batch.column("text").to_pylist(), index, threshold):
-                    question, answer, whole = index.verify(words, item)
-                    parts = [s for s, p in ((question, index.questions[item]), (answer, index.answers[item])) if p]
-                    if whole >= WHOLE_OVERLAP or (parts and min(parts) >= PART_OVERLAP):
-                        row = (whole, score, question, answer)
-                        if (number, item) not in best or row[:2] > best[number, item][:2]:
-                            best[number, item] = row
+                for number, item, row in leaks(batch.column("text").to_pylist(), index, threshold):
+                    if (number, item) not in best or row[:2] > best[number, item][:2]:
+                        best[number, item] = row
                 rows = [(ids[n], index.ids[i], s, q, a, w) for (n, i), (w, s, q, a) in best.items()]
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.float64()]
                 names = [part.split()[0] for part in HITS.split(", ")]
@@ -249,6 +254,20 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD)
     return docs.sparkSession.createDataFrame([], HITS) if result is None else result
 
 
+def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, that hold no test item; see find_leaks. Nothing is shuffled."""
+    for index in _index_parts(items):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = {number for number, _, _ in leaks(batch.column("text").to_pylist(), shared.value, threshold)}
+                yield batch.filter(pa.array([i not in found for i in range(batch.num_rows)]))
+
+        docs = docs.mapInArrow(scan, docs.schema)
+    return docs
+
+
 def split_items(benchmark: DataFrame) -> DataFrame:
     """Items of a benchmark without separate columns (item_id, text): the last sentence is the answer, if there are two."""
     text = F.coalesce("text", F.lit(""))

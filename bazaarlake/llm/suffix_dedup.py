@@ -344,12 +344,15 @@ def repeats(docs: DataFrame, held_bytes: int = HELD_BYTES) -> DataFrame:
     return first.union(second).union(third).filter("kind = 0").select("doc_id", "bits", "start", "length")
 
 
-def remove_repeats(docs: DataFrame, keep: Sequence[str], held_bytes: int = HELD_BYTES) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, keep: Sequence[str], as_text: bool = False, held_bytes: int = HELD_BYTES
+) -> DataFrame:
     """The columns to keep of every row of docs (doc_id, text), ``kept`` (the remaining bytes), n_bytes, n_removed and n_spans.
 
     A byte goes if a string of LENGTH bytes that covers it also starts earlier: in a row with a smaller doc_id, or at an earlier place in a row with
     the same doc_id. A null doc_id counts as the largest. Rows that repeat doc_id and text are judged alike, as neither starts earlier.
-    Null texts count as empty. Strings never cross rows and are judged on the whole input.
+    Null texts count as empty. Strings never cross rows and are judged on the whole input. With ``as_text`` kept is a string, without the
+    rest of characters that were cut in two.
     """
     columns = [c for c in keep if c not in ("kept", "n_bytes", "n_removed", "n_spans")]
     identified = _identified(docs)
@@ -379,11 +382,12 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str], held_bytes: int = HELD_
                 left.append(data[max(end, 0) :])
                 kept.append(b"".join(left))
                 counts.append((len(data), removed, number))
-            arrays = [pa.array(kept, pa.binary()), *(pa.array(c, pa.int64()) for c in zip(*counts, strict=True))]
+            texts = [k.decode("utf-8", "ignore") for k in kept] if as_text else kept
+            arrays = [pa.array(texts, pa.string() if as_text else pa.binary()), *(pa.array(c, pa.int64()) for c in zip(*counts, strict=True))]
             names = [*columns, "kept", "n_bytes", "n_removed", "n_spans"]
             if counts:
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *arrays], names=names)
 
-    fields = [*(docs.schema[c] for c in columns), T.StructField("kept", T.BinaryType())]
+    fields = [*(docs.schema[c] for c in columns), T.StructField("kept", T.StringType() if as_text else T.BinaryType())]
     fields += [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
     return joined.select(*columns, "_packed", "_spans").mapInArrow(cut, T.StructType(fields))
