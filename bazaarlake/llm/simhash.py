@@ -208,13 +208,14 @@ def near_duplicates(
     An empty table gives an empty result.
     """
     marked = write_table(fingerprints(docs, shingle_words), "fingerprints")
-    nodes = write_table(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    count = marked.count()
+    nodes = write_table(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes", count)
     roots = components(links(nodes.select("fp"), radius, radius if accept is None else accept, group_rows))
-    linked = write_table(nodes.join(roots, F.col("fp") == F.col("node")).select("fp", "first", "root"), "linked")
+    linked = write_table(nodes.join(roots, F.col("fp") == F.col("node")).select("fp", "first", "root"), "linked", count)
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(write_table(least, "least"), "root").select("fp", "component_id")
+    named = linked.join(write_table(least, "least", count), "root").select("fp", "component_id")
     alone = nodes.join(linked.select("fp"), "fp", "left_anti").select("fp", F.col("first").alias("component_id"))
-    found = write_table(named.union(alone), "components")
+    found = write_table(named.union(alone), "components", count)
     drop_table(nodes)
     return marked.join(found, "fp").select("doc_id", "text_hash", "fp", "component_id")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -25,9 +26,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return folder
 
 
-def write_table(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a DataFrame to a shared folder and read it back: its lineage ends there."""
+# Narrow rows that one task writes, where their number is known.
+ROWS_PER_TASK = 200_000
+
+
+def write_table(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+    """Write a DataFrame to a shared folder and read it back: its lineage ends there.
+
+    With an upper bound of its rows, short tables are written by few tasks.
+    """
     folder = shared_folder(df.sparkSession, purpose)
+    if rows is not None:
+        df = df.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
