@@ -19,6 +19,8 @@ LEVEL = 9
 # Templates that are compared with a block, and the share of a template's words that must be found in order.
 RANKED = 3
 LEAST_MATCH = 0.8
+# Characters of a sentence; longer ones are cut down to where they speak of rights.
+LONG = 1000
 
 # Words that a license notice cannot do without, in lower case.
 SIGNS = (
@@ -65,21 +67,37 @@ WORD = re.compile(r"\w+(?:[.-]\w+)*")
 
 
 def blocks(text: str) -> list[str]:
-    """Runs of sentences or lines that hold a sign of a license; a run goes on over one sentence without."""
+    """Runs of sentences or lines that hold a sign of a license; a run goes on over one short sentence without.
+
+    Of a sentence of more than LONG characters only the surroundings of its signs count.
+    """
     sign = re.compile("|".join(SIGNS), re.I)
-    runs, gap = [], 2
+    runs, gap, skipped = [], 2, []
     for segment in SEGMENT.findall(text):
         if sign.search(segment):
+            parts = [segment] if len(segment) <= LONG else _surroundings(segment, sign)
             if gap > 1 or not runs:
-                runs.append([segment])
+                runs.append(parts[:1])
             else:
-                runs[-1] += [*skipped, segment]
+                runs[-1] += [*skipped, parts[0]]
+            runs += [[part] for part in parts[1:]]
             gap, skipped = 0, []
         elif segment.strip():
-            gap, skipped = gap + 1, [segment] if gap == 0 else []
+            gap, skipped = (1, [segment]) if gap == 0 and len(segment) <= LONG else (2, [])
     return [" ".join(" ".join(run).split()) for run in runs]
 
 
+def _surroundings(segment: str, sign: re.Pattern) -> list[str]:
+    spans = []
+    for m in sign.finditer(segment):
+        start, end = max(0, m.start() - LONG // 2), m.end() + LONG // 2
+        if spans and start <= spans[-1][1]:
+            spans[-1][1] = end
+        else:
+            spans.append([start, end])
+    return [segment[a:b] for a, b in spans]
+
+
 class Scanner:
     """Templates as compression dictionaries."""
 
