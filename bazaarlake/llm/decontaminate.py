@@ -1,9 +1,9 @@
 """Benchmark decontamination: training passages query a BM25 index of the test items.
 
 Item weights are divided by the item's own total, so a passage's score is the share of the item's weight that it holds.
-Passages go through three steps: sums of block maxima for many passages at once drop those that no block of items can bring to
-the threshold; block-max WAND retrieves every item above the threshold for the rest; the exact word sequences of
-question and answer decide.
+Passages go through three steps. Block-max WAND retrieves every item above the threshold: sums of block maxima, taken for many
+passages at once, skip the blocks of items that cannot reach it, and the lists of the other blocks are walked from pivot to
+pivot. The exact word sequences of question and answer decide.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ PART_OVERLAP = 0.6
 WHOLE_OVERLAP = 0.8
 # Items of one index, which is broadcast; larger test sets get several indexes, one pass over the passages for each.
 INDEX_ITEMS = 10_000
-BLOCKS = 32
+BLOCKS = 64
 # Passages have at least twice so many words, and twice those of the longest item.
 STRIDE_WORDS = 64
 BATCH_WORDS = 1 << 17
@@ -52,13 +52,13 @@ def sequences(words: list[bytes]) -> set[tuple[bytes, ...]]:
 
 
 class Index:
-    """Inverted index of up to INDEX_ITEMS items with list and block maxima."""
+    """Inverted index of up to INDEX_ITEMS items, cut into blocks of items with their maxima."""
 
     def __init__(self, items: pd.DataFrame, df: dict[bytes, int], total: int, mean_words: float):
         self.ids = items["item_id"].tolist()
         self.questions = [plain_bytes(t).split() for t in items["question"]]
         self.answers = [plain_bytes(t).split() for t in items["answer"]]
-        self.block_items = max(1, math.ceil(len(self.ids) / BLOCKS))
+        self.block_items = max(2, math.ceil(len(self.ids) / BLOCKS))
         lists: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
         for number, words in enumerate(q + a for q, a in zip(self.questions, self.answers, strict=True)):
             counts: dict[bytes, int] = defaultdict(int)
@@ -73,54 +73,48 @@ class Index:
             for word, weight in weights.items():
                 lists[word].append((number, weight / own))
         self.terms = {word: i for i, word in enumerate(lists)}
-        self.items = [[n for n, _ in postings] for postings in lists.values()]
-        self.weights = [[w for _, w in postings] for postings in lists.values()]
-        self.highest = [max(w) for w in self.weights]
         blocks = max(1, math.ceil(len(self.ids) / self.block_items))
+        # The part of each posting list that lies in a block, and its highest weight.
+        self.postings: list[dict[int, list[tuple[int, float]]]] = [{} for _ in range(blocks)]
         self.block_highest = np.zeros((len(lists), blocks), np.float32)
-        for term, (numbers, weights) in enumerate(zip(self.items, self.weights, strict=True)):
-            np.maximum.at(self.block_highest[term], np.array(numbers) // self.block_items, np.array(weights, np.float32))
+        for term, postings in enumerate(lists.values()):
+            for item, weight in postings:
+                block = item // self.block_items
+                self.postings[block].setdefault(term, []).append((item, weight))
+                self.block_highest[term, block] = max(self.block_highest[term, block], weight)
         longest = max((len(q) + len(a) for q, a in zip(self.questions, self.answers, strict=True)), default=0)
         self.stride = max(STRIDE_WORDS, longest)
 
-    def retrieve(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """Block-max WAND: every item whose summed weights of the terms reach the threshold, with its score."""
-        at, found = dict.fromkeys(terms, 0), []
-        while at:
-            order = sorted(at, key=lambda t: self.items[t][at[t]])
-            reach, pivot = 0.0, None
-            for place, term in enumerate(order):
-                reach += self.highest[term]
-                if reach >= threshold:
-                    pivot = self.items[term][at[term]]
+    def retrieve(self, terms: list[int], blocks: list[int], threshold: float) -> list[tuple[int, float]]:
+        """Every item of some blocks whose summed weights of the terms reach the threshold, with its score.
+
+        Within a block, lists are walked by WAND: the item at which the maxima of the lists up to it reach the threshold is the
+        next that can, and lists before it are moved there.
+        """
+        found = []
+        for block in blocks:
+            lists = [self.postings[block][t] for t in terms if t in self.postings[block]]
+            highest = [max(w for _, w in postings) for postings in lists]
+            at = [0] * len(lists)
+            while True:
+                order = sorted((postings[at[k]][0], k) for k, postings in enumerate(lists) if at[k] < len(postings))
+                reach, pivot = 0.0, None
+                for item, k in order:
+                    reach += highest[k]
+                    if reach * (1 + 1e-9) >= threshold:
+                        pivot = item
+                        break
+                if pivot is None:
                     break
-            if pivot is None:
-                break
-            while place + 1 < len(order) and self.items[order[place + 1]][at[order[place + 1]]] == pivot:
-                place += 1
-            upto = order[: place + 1]
-            block = pivot // self.block_items
-            if sum(float(self.block_highest[t, block]) for t in upto) * (1 + 1e-6) < threshold:
-                # No item of this block before the next list's item can reach it.
-                target = (block + 1) * self.block_items
-                if place + 1 < len(order):
-                    target = min(target, self.items[order[place + 1]][at[order[place + 1]]])
-                moved = upto
-                target = max(target, pivot + 1)
-            elif self.items[order[0]][at[order[0]]] == pivot:
-                score = sum(self.weights[t][at[t]] for t in upto)
-                if score >= threshold:
-                    found.append((pivot, score))
-                moved, target = upto, pivot + 1
-            else:
-                moved, target = [t for t in upto if self.items[t][at[t]] < pivot], pivot
-            for term in moved:
-                numbers, place = self.items[term], at[term]
-                while place < len(numbers) and numbers[place] < target:
-                    place += 1
-                at[term] = place
-                if place == len(numbers):
-                    del at[term]
+                if order[0][0] == pivot:
+                    score = sum(lists[k][at[k]][1] for item, k in order if item == pivot)
+                    if score >= threshold:
+                        found.append((pivot, score))
+                for item, k in order:
+                    if item > pivot or (item == pivot and order[0][0] != pivot):
+                        continue
+                    while at[k] < len(lists[k]) and lists[k][at[k]][0] < pivot + (order[0][0] == pivot):
+                        at[k] += 1
         return found
 
     def verify(self, words: list[bytes], number: int) -> tuple[float, float | None, float]:
@@ -172,9 +166,9 @@ def search(texts: list[str | None], index: Index, threshold: float) -> Iterator[
         window, terms = codes // len(index.terms), codes % len(index.terms)
         begins = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
         ends = np.r_[begins[1:], len(window)]
-        bounds = np.add.reduceat(index.block_highest[terms], begins, axis=0).max(axis=1)
-        for i in np.flatnonzero(bounds >= threshold * (1 - 1e-4)):
-            hits = index.retrieve(terms[begins[i] : ends[i]].tolist(), threshold)
+        bounds = np.add.reduceat(index.block_highest[terms], begins, axis=0) >= threshold * (1 - 1e-4)
+        for i in np.flatnonzero(bounds.any(axis=1)):
+            hits = index.retrieve(terms[begins[i] : ends[i]].tolist(), np.flatnonzero(bounds[i]).tolist(), threshold)
             if hits:
                 run = int(np.searchsorted(first, window[begins[i]], "right")) - 1
                 number, words = held[run]

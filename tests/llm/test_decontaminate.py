@@ -70,11 +70,13 @@ def test_wand_returns_all_items_above_the_threshold():
         words = set(D.plain_bytes(prose(rng, rng.randrange(1, 60))).split()) & set(index.terms)
         terms = sorted(index.terms[w] for w in words)
         scores = Counter()
-        for t in terms:
-            for n, w in zip(index.items[t], index.weights[t]):
-                scores[n] += w
+        for postings in index.postings:
+            for t in terms:
+                for n, w in postings.get(t, []):
+                    scores[n] += w
+        blocks = list(range(len(index.postings)))
         for threshold in (0.3, 0.6):
-            assert sorted(n for n, _ in index.retrieve(terms, threshold)) == sorted(n for n, s in scores.items() if s >= threshold)
+            assert sorted(n for n, _ in index.retrieve(terms, blocks, threshold)) == sorted(n for n, s in scores.items() if s >= threshold)
 
 
 def test_empty_tables(spark):
