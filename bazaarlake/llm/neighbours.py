@@ -114,7 +114,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int
     query_blocks = max(1, math.ceil(total / block_rows), min(total // 128, math.ceil(tasks / blocks)))
 
     def dealt(df: DataFrame, own: str, count: int, other: str, others: int) -> DataFrame:
-        block = F.pmod(F.xxhash64("vec_id"), F.lit(count)).alias(own)
+        # Both sides need keys of one type: the cogroup deals rows by a hash that depends on it.
+        block = F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int").alias(own)
         every = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other)
         return df.select("vec_id", "embedding", F.size("embedding").alias("dim"), block, every)
 

@@ -23,16 +23,26 @@ def found(df):
 
 
 @pytest.mark.parametrize("block_rows", [65_536, 150])
-def test_recall_and_scores(spark, block_rows):
+def test_recall_and_scores(spark, monkeypatch, block_rows):
+    # Without coalescing, groups of the two sides meet only if they are dealt alike.
+    monkeypatch.setattr(spark.conf, "get", lambda *a, get=spark.conf.get: "40" if a[0] == "spark.sql.shuffle.partitions" else get(*a))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        recall_and_scores(spark, block_rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def recall_and_scores(spark, block_rows):
     rng = np.random.default_rng(1)
-    rows = [(i, rng.standard_normal(32).astype(np.float32).tolist()) for i in range(1200)]
+    rows = [(i, rng.standard_normal(32).astype(np.float32).tolist()) for i in range(4000)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = found(neighbours.nearest(df, df.filter("vec_id % 20 = 0"), 5, block_rows))
-    want = exact(rows, set(range(0, 1200, 20)), 5)
+    got = found(neighbours.nearest(df, df.filter("vec_id % 10 = 0"), 5, block_rows))
+    want = exact(rows, set(range(0, 4000, 10)), 5)
     assert set(got) == set(want)
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hits >= 0.9 * 5 * len(want)
-    best = {q: dict(v) for q, v in exact(rows, set(want), 1199).items()}
+    best = {q: dict(v) for q, v in exact(rows, set(want), 3999).items()}
     assert all(abs(best[q][i] - s) < 1e-12 for q in got for i, s in got[q])
 
 
