@@ -24,7 +24,8 @@ SHINGLE_WORDS = 4
 RADIUS = 4
 SEED = 42
 # Fingerprints that share a masked value are compared in one task up to this number; beyond it they are masked again.
-# After two masks at most 16 bits are free, so that a second group has at most 65 536 fingerprints.
+# A mask leaves about half of the bits free, so after two masks some 16 bits are free and a second group has no more
+# than about 2^16 fingerprints, however many there are in all.
 GROUP_ROWS = 4096
 
 
@@ -71,12 +72,19 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
     return hashed.mapInArrow(scan, "doc_id long, text_hash long, fp long")
 
 
-def masks(radius: int, positions: list[int]) -> list[int]:
-    """Covering masks over some bit positions."""
-    vectors = {p: j % (2 ** (radius + 1) - 1) + 1 for j, p in enumerate(positions)}
-    return [
-        sum(1 << p for p, m in vectors.items() if (m & v).bit_count() % 2) for v in range(1, 2 ** (radius + 1))
-    ]
+def masks(radius: int, positions: list[int], tries: int = 1) -> list[int]:
+    """Covering masks over some bit positions; of several draws of the vectors the one whose smallest mask is largest.
+
+    Any vectors cover; evenly drawn ones make all masks keep about half of the positions.
+    """
+    count, best = 2 ** (radius + 1) - 1, []
+    for seed in range(tries):
+        rng = np.random.default_rng(seed)
+        drawn = np.concatenate([rng.permutation(count) + 1 for _ in range(-(-len(positions) // count))])
+        vectors = list(zip(positions, drawn.tolist(), strict=False))
+        found = [sum(1 << p for p, m in vectors if (m & v).bit_count() % 2) for v in range(1, count + 1)]
+        best = max(best, found, key=lambda ms: min((m.bit_count() for m in ms), default=-1))
+    return best
 
 
 def _signed(mask: int) -> int:
@@ -102,14 +110,12 @@ def near_in_group(group: np.ndarray, radius: int) -> list[tuple[int, np.ndarray]
     return links
 
 
-def _link(accept: int, limit: int):
+def _link(accept: int, limit: float):
     """Arrow function over rows (tbl, masked, fp) sorted by these: rows (tbl, a, b).
 
     Links have tbl -1. The rows of a group beyond the limit are given out again, as (tbl, masked, fp), for more masks.
     At most ``limit`` rows of an unfinished group are held.
     """
-    small = 8
-
     def rows(tbl, a, b):
         columns = [np.asarray(tbl, np.int32), np.asarray(a).astype(np.int64), np.asarray(b).astype(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["tbl", "a", "b"])
@@ -118,15 +124,11 @@ def _link(accept: int, limit: int):
         """Whole groups."""
         starts = np.flatnonzero(np.r_[True, (tbl[1:] != tbl[:-1]) | (key[1:] != key[:-1])])
         sizes = np.diff(np.r_[starts, len(tbl)])
-        number = np.repeat(np.arange(len(starts)), sizes)
-        a, b = [], []
-        for d in range(1, min(small, sizes.max(initial=1))):
-            same = np.flatnonzero(number[d:] == number[:-d])
-            near = same[np.bitwise_count((fp[same] ^ fp[same + d]).view(np.uint64)) <= accept]
-            a.append(fp[near])
-            b.append(fp[near + d])
-        over = []
-        for start, size in zip(starts[sizes > small], sizes[sizes > small], strict=True):
+        # Most groups are pairs; larger ones give a link less than they have members.
+        pair = starts[sizes == 2]
+        pair = pair[np.bitwise_count((fp[pair] ^ fp[np.minimum(pair + 1, len(fp) - 1)]).view(np.uint64)) <= accept]
+        a, b, over = [fp[pair]], [fp[pair + 1]], []
+        for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
             if size > limit:
                 over.append(slice(start, start + size))
                 continue
@@ -170,9 +172,9 @@ def _link(accept: int, limit: int):
 
 def links(fps: DataFrame, radius: int, accept: int, group_rows: int) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp), see near_duplicates."""
-    first = masks(radius, list(range(64)))
+    first = masks(radius, list(range(64)), 100)
 
-    def grouped(df: DataFrame, limit: int) -> DataFrame:
+    def grouped(df: DataFrame, limit: float) -> DataFrame:
         dealt = df.repartition("tbl", "masked").sortWithinPartitions("tbl", "masked", "fp")
         return dealt.mapInArrow(_link(accept, limit), "tbl int, a long, b long")
 
@@ -187,7 +189,7 @@ def links(fps: DataFrame, radius: int, accept: int, group_rows: int) -> DataFram
     large = large.select(
         (F.col("tbl") * len(first) + F.col("sub")).cast("int").alias("tbl"), F.expr("fp & mask").alias("masked"), "fp"
     )
-    edges = found.filter("tbl < 0").union(grouped(large, 1 << 16))
+    edges = found.filter("tbl < 0").union(grouped(large, float("inf")))
     return edges.select("a", "b")
 
 

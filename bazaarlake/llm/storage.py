@@ -3,23 +3,21 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below spark.checkpoint.dir, or below the context's checkpoint folder.
+    """A new folder name below spark.checkpoint.dir, else below the context's checkpoint folder, else in the warehouse.
 
-    Only a local session where neither is set, as in tests, gets a temporary folder. The folder is removed
-    when the driver's JVM ends.
+    The folder is removed when the driver's JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="bazaarlake-llm-")
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
     folder = f"{root.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)

@@ -55,6 +55,21 @@ def test_masks_cover_every_pair_within_the_radius():
             assert any(not bits & m for m in masks)
 
 
+def test_masks_keep_about_half_of_the_bits():
+    for radius in (4, 5, 6):
+        assert all(24 <= m.bit_count() <= 44 for m in simhash.masks(radius, list(range(64)), 100))
+
+
+def test_random_fingerprints_stay_apart(spark):
+    rng = random.Random(9)
+    fps = [rng.getrandbits(63) for _ in range(3000)]
+    fps += [f ^ 0b111111 << 9 for f in fps[:30]] + [f ^ 0x5555 for f in fps[30:60]]
+    edges = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), 5, 9, 4096).collect()
+    known = set(fps)
+    assert all(e.a in known and e.b in known and (e.a ^ e.b).bit_count() <= 9 for e in edges)
+    assert len({(e.a, e.b) for e in edges}) >= 40
+
+
 def test_spark_hash_is_the_same(spark):
     value = spark.sql("SELECT xxhash64('abc de') AS h").first()["h"] & (1 << 64) - 1
     assert value == xxhash.xxh64_intdigest("abc de", 42)
