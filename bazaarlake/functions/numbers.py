@@ -47,5 +47,6 @@ def log_base10(c: Column) -> Column:
 
 
 def first_number(*candidates: Column) -> Column:
-    """First candidate that is a number or a string of digits, as bigint; 0 when there is none."""
-    return F.coalesce(*(to_long(c) for c in candidates), F.lit(0).cast("bigint"))
+    """First candidate of digits only, as bigint; 0 when there is none."""
+    digits = (F.when(c.rlike("^[0-9]+$"), c.try_cast("bigint")) for c in candidates)
+    return F.coalesce(*digits, F.lit(0).cast("bigint"))

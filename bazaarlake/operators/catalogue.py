@@ -24,10 +24,14 @@ def option_combinations(df: DataFrame, options: list[str]) -> DataFrame:
 
 
 def one_item_per_url(items: DataFrame) -> DataFrame:
-    """URL list with one row per url: the smallest (category, sold), combined before the shuffle."""
+    """URL list with one row per url: a complete one if there is, then the smallest (category, sold).
+
+    Rows are combined before the shuffle.
+    """
+    order = F.struct(F.col("category").isNull(), F.col("sold").isNull(), "category", "sold")
     return (
         items.groupBy("url")
-        .agg(F.min(F.struct("category", "sold")).alias("item"))
+        .agg(F.min_by(F.struct("category", "sold"), order).alias("item"))
         .select("url", "item.category", "item.sold")
     )
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 200
-
 
 def last_id(existing: DataFrame, id_column: str = "id") -> DataFrame:
     """One row: the highest id in use, 0 for an empty table."""
@@ -28,12 +26,14 @@ def dense_ids(df: DataFrame, key: str, base: Column) -> DataFrame:
 
     Rows are cut into key ranges at approximate quantiles; an exact count per range gives every range
     its first id, and rows are numbered inside their range. The cuts only balance the work: the ids
-    are the same wherever they fall. Ranges hold at most a few times n/BUCKETS rows because the key
-    is unique.
+    are the same wherever they fall. There are as many ranges as shuffle partitions, and as the key is unique, a
+    range holds at most a few times its share of the rows.
     """
-    cuts = sorted(set(df.approxQuantile(key, [i / BUCKETS for i in range(1, BUCKETS)], 0.25 / BUCKETS)))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = [i / ranges for i in range(1, ranges)]
+    cuts = sorted(set(df.approxQuantile(key, steps, 0.25 / ranges))) if steps else []
     ranged = df.withColumn("_range", _range_number(F.col(key).cast("double"), cuts))
-    # At most BUCKETS rows from here to the offsets, whatever the table size.
+    # One row per range from here to the offsets.
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -5,62 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key has to hold at least one row in this many to be salted, so there are at most as many hot keys.
-HOT_SHARE = 200
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a DataFrame."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark itself would broadcast the DataFrame: its estimate is under the threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimated_bytes(df) <= limit
-
-
-def hot_keys(df: DataFrame, keys: list[str]) -> list[int]:
-    """Hashes of the keys holding at least 1/HOT_SHARE of the rows: never more than HOT_SHARE values.
-
-    One pass over the key columns with a fixed-size frequent-items sketch per task; only the sketch
-    is shuffled. The sketch only decides which keys are spread, never which rows are kept.
-    """
-    found = (
-        df.select(F.xxhash64(*keys).alias("_key"))
-        .agg(F.expr(f"approx_top_k(_key, {HOT_SHARE})").alias("top"), F.count("*").alias("n"))
-        .first()
-    )
-    return [e["item"] for e in found["top"] or [] if e["count"] * HOT_SHARE >= found["n"]]
-
 
 def lookup_join(
-    left: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "left"
+    left: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "left", salts: int = 0
 ) -> DataFrame:
-    """Equi-join against a lookup with at most one row per key.
+    """Equi-join against a lookup with at most one row per key; nothing runs while the plan is built.
 
-    When Spark can broadcast a side that is under its threshold, the join is left to it. Otherwise
-    both sides are shuffled, and rows of hot keys are spread over all shuffle partitions: they get the number of their input
-    partition as a second key, and the lookup rows of those few keys are repeated once per salt.
+    Spark broadcasts a side under its threshold; beyond it, adaptive execution splits the partitions of hot keys. Where it
+    cannot (the lookup side is an aggregate on the join keys, whose partitioning it must keep), ``salts`` spreads the rows of
+    every key over so many tasks by their input partition, and repeats the lookup that often.
     ``how`` may be inner, left, left_semi or left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(lookup) or (how == "inner" and fits_broadcast(left)):
-        return left.join(lookup, keys, how)
     for key in keys:
         if left.schema[key].dataType != lookup.schema[key].dataType:
             raise TypeError(f"join column {key!r} has different types on the two sides")
-    hot = hot_keys(left, keys)
-    if not hot:
+    if salts < 2:
         return left.join(lookup, keys, how)
-    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.xxhash64(*keys).isin(hot)
-    spread = left.withColumn(
-        "_salt",
-        F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0)),
-    )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = lookup.withColumn("_salt", F.explode(copies))
+    spread = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -91,21 +91,40 @@ def _select(df: DataFrame, expressions: dict[str, str], *extra: str) -> DataFram
 
 
 def raw_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw store-A listings: order lines with an odd line number."""
-    return _select(
-        order_lines(spark, sf_dir).filter("l_linenumber % 2 = 1"), RAW_A_EXPRESSIONS, "offer_key"
-    )
+    """Raw store-A listings: every order line, keyed 'a-...'."""
+    return _select(order_lines(spark, sf_dir).withColumn("offer_key", F.expr("concat('a-', offer_key)")), RAW_A_EXPRESSIONS, "offer_key")
 
 
 def raw_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw store-B listings: order lines with an even line number."""
+    """Raw store-B listings: every order line, keyed 'b-...'."""
     nation = read_table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     region = read_table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    lines = order_lines(spark, sf_dir).filter("l_linenumber % 2 = 0")
+    lines = order_lines(spark, sf_dir).withColumn("offer_key", F.expr("concat('b-', offer_key)"))
     placed = lookup_join(lookup_join(lines, nation, "s_nationkey", "inner"), region, "n_regionkey", "inner")
     return _select(placed, RAW_B_EXPRESSIONS, "offer_key")
 
 
+# Class of the element that holds each field of a store-B detail page.
+DETAIL_CLASSES = {
+    "product_name": "title", "avg_rating": "score", "price": "price", "brand_name": "brand", "num_review": "reviews",
+    "shop_info": "seller", "category": "crumb", "attr_name": "attr-name", "attr_value": "attr-value", "product_desc": "detail",
+}
+
+
+def detail_pages_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(offer_key, url, html): the detail page of every store-B listing; elements without a value are missing."""
+    element = lambda tag, kind, field: f"concat('<{tag} id=\"x\" class=\"{kind}\">', {field}, '</{tag}>')"
+    html = F.expr(
+        f"""concat_ws('\n', '<html><body>', {element("h1", "big title", "product_name")}, {element("b", "score", "avg_rating")},
+        {element("span", "price now", "price")}, {element("i", "brand", "brand_name")}, {element("a", "reviews", "num_review")},
+        array_join(transform(split(category, '/'), c -> concat('<a class=''crumb''>', c, '</a>')), ' '),
+        array_join(transform(map_entries(attrs), e -> concat('<dt class="attr-name">', e.key,
+          '</dt><dd class="attr-value">', e.value, '</dd>')), ''),
+        {element("pre", "seller", "shop_info")}, {element("div", "html detail", "product_desc")}, '</body></html>')"""
+    )
+    return raw_b(spark, sf_dir).select("offer_key", "url", html.alias("html"))
+
+
 # Variant numbers of a page: 3 has a blank SKU id; 0 is called "9" on pages without a default SKU.
 PAGE_EXPRESSION = """
 to_json(named_struct('data', named_struct('root', named_struct('fields', named_struct(
@@ -119,7 +138,7 @@ to_json(named_struct('data', named_struct('root', named_struct('fields', named_s
     if(l_orderkey % 4 = 0, '9', '0'), named_struct('skuId', concat(sku, '-0'),
       'price', named_struct('salePrice', named_struct('text', concat('₫', cents)),
         'promotionPrice', named_struct('text', '₫1'), 'originalPrice', null_text, 'text', '₫2'),
-      'quantity', named_struct('limit', named_struct('max', cast(l_quantity as string)), 'max', '1'),
+      'quantity', named_struct('limit', named_struct('max', cast(cast(l_quantity as int) as string)), 'max', '1'),
       'stock', '2', 'inventory', '3'),
     '1', named_struct('skuId', concat(sku, '-1'),
       'price', named_struct('salePrice', null_text,

@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.numbers import log_price, unlog_price
 from bazaarlake.ml import price_model, text_weights
 from bazaarlake.operators.skew import lookup_join, read_table, spread_scan
-from bazaarlake.plans import tables
-from bazaarlake.plans.registry import query, shared_folder
+from bazaarlake.plans import tables, truth
+from bazaarlake.plans.registry import SQL, query, shared_folder
 from bazaarlake.sinks import files as file_sinks
 from bazaarlake.sources import files
 
@@ -20,7 +17,8 @@ from bazaarlake.sources import files
 @query(
     """WITH p AS (SELECT p_partkey, p_type, p_brand FROM part WHERE p_partkey % 31 <> 0),
     t AS (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1.0 AS i FROM p GROUP BY p_type),
-    b AS (SELECT p_brand, row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1.0 AS i FROM part GROUP BY p_brand)
+    b AS (SELECT p_brand, row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1.0 AS i FROM part
+      WHERE p_partkey % 31 <> 0 GROUP BY p_brand)
     SELECT p_partkey, t.i::DOUBLE AS type_index, b.i::DOUBLE AS brand_index,
       CASE WHEN t.i = (SELECT max(i) FROM t) THEN 0 ELSE 1 END::DOUBLE AS type_onehot_sum
     FROM p JOIN t USING (p_type) JOIN b USING (p_brand)"""
@@ -30,16 +28,16 @@ def ml_category_index(spark, sf_dir):
     part = read_table(spark, sf_dir, "part").selectExpr(
         "p_partkey", "if(p_partkey % 31 = 0, null, p_type) AS p_type", "p_brand"
     )
-    indexer = StringIndexer(
-        inputCols=["p_type", "p_brand"], outputCols=["type_index", "brand_index"], handleInvalid="skip"
+    spec = price_model.Features(
+        categories=("p_type", "p_brand"), numerics=(), omitted=("name_description",), unseen="skip"
     )
-    one_hot = OneHotEncoder(inputCols=["type_index"], outputCols=["type_onehot"])
-    coded = Pipeline(stages=[indexer, one_hot]).fit(part).transform(part)
+    prepared = price_model.prepare(part, spec)
+    coded = Pipeline(stages=price_model.feature_stages(spec)).fit(prepared).transform(prepared)
     return coded.select(
         "p_partkey",
-        "type_index",
-        "brand_index",
-        F.aggregate(vector_to_array("type_onehot"), F.lit(0.0), lambda a, b: a + b).alias("type_onehot_sum"),
+        F.col("p_type_index").alias("type_index"),
+        F.col("p_brand_index").alias("brand_index"),
+        F.aggregate(vector_to_array("p_type_onehot"), F.lit(0.0), lambda a, b: a + b).alias("type_onehot_sum"),
     )
 
 
@@ -55,22 +53,24 @@ def ml_tfidf_terms(spark, sf_dir):
     return weights.withColumn("idf", F.round("idf", 9))
 
 
-@query()
+@query(
+    r"""WITH w AS (SELECT doc_id, regexp_split_to_array(lower(regexp_replace(text, '\s+$', '')), '\s') AS words FROM documents)
+    SELECT doc_id, len(words)::DOUBLE AS n_words, len(words)::DOUBLE AS n_counted, len(list_distinct(words))::INTEGER AS n_terms
+    FROM w"""
+)
 def ml_text_features(spark, sf_dir):
-    """Hashed TF-IDF features of every document: distinct buckets used and their total weight."""
-    docs = spread_scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    stages = price_model.text_stages(price_model.Features(text="text"))
-    weights = vector_to_array("text_features")
-    return (
-        Pipeline(stages=stages)
-        .fit(docs)
-        .transform(docs)
-        .select(
-            "doc_id",
-            F.size(F.filter(weights, lambda w: w > 0)).alias("n_buckets"),
-            F.round(F.aggregate(weights, F.lit(0.0), lambda a, b: a + b), 6).alias("weight"),
-        )
-    )
+    """Words of every document, by hashed term counts and by counted terms."""
+    docs = spread_scan(read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("name_description")))
+    total = lambda c: F.aggregate(vector_to_array(c), F.lit(0.0), lambda a, b: a + b)
+    for method, vector in (("tf-idf", "term_counts"), ("count-vectorizer", "text_features")):
+        spec = price_model.Features(text_method=method, vocabulary=1 << 20, categories=(), numerics=())
+        stages = price_model.feature_stages(spec)
+        docs = Pipeline(stages=stages).fit(docs).transform(docs)
+        docs = docs.withColumn("n_words" if method == "tf-idf" else "n_counted", total(vector))
+        if method == "count-vectorizer":
+            docs = docs.withColumn("n_terms", F.size(F.filter(vector_to_array(vector), lambda w: w > 0)))
+        docs = docs.drop("words", "term_counts", "text_features", "features")
+    return docs.select("doc_id", "n_words", "n_counted", "n_terms")
 
 
 @query(
@@ -82,12 +82,10 @@ def ml_text_features(spark, sf_dir):
 )
 def ml_minmax(spark, sf_dir):
     part = read_table(spark, sf_dir, "part")
-    stages = [
-        VectorAssembler(inputCols=["p_size", "p_retailprice"], outputCol="numbers"),
-        MinMaxScaler(inputCol="numbers", outputCol="scaled"),
-    ]
-    scaled = Pipeline(stages=stages).fit(part).transform(part)
-    values = scaled.select("p_partkey", vector_to_array("scaled").alias("s"))
+    spec = price_model.Features(categories=(), numerics=("p_size", "p_retailprice"), omitted=("name_description",))
+    prepared = price_model.prepare(part, spec)
+    scaled = Pipeline(stages=price_model.feature_stages(spec)).fit(prepared).transform(prepared)
+    values = scaled.select("p_partkey", vector_to_array("scaled_numbers").alias("s"))
     return values.select(
         "p_partkey",
         F.round(F.get("s", 0), 9).alias("size_scaled"),
@@ -95,7 +93,13 @@ def ml_minmax(spark, sf_dir):
     )
 
 
-@query()
+HELD_OUT = "('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8))::BIGINT % 10 >= 8"
+
+
+@query(
+    f"""SELECT l_orderkey, l_linenumber, CASE WHEN {HELD_OUT.format("l_orderkey")} THEN 'test' ELSE 'train' END AS side
+    FROM lineitem"""
+)
 def ml_hash_split(spark, sf_dir):
     """Order lines on the training or test side of a split by key hash."""
     lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
@@ -112,12 +116,9 @@ def ml_hash_split(spark, sf_dir):
 )
 def ml_linear_closed_form(spark, sf_dir):
     """Least squares of log price on one feature, predicted and un-logged for every line."""
-    lines = read_table(spark, sf_dir, "lineitem").select(
-        "l_quantity", log_price(F.col("l_extendedprice")).alias("log_price")
-    )
-    assembled = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(lines)
-    model = LinearRegression(labelCol="log_price", predictionCol="log_prediction").fit(assembled)
-    scored = model.transform(assembled).withColumn("prediction", unlog_price(F.col("log_prediction")))
+    lines = read_table(spark, sf_dir, "lineitem").select("l_quantity", F.col("l_extendedprice").alias("price"))
+    spec = price_model.Features(categories=(), numerics=("l_quantity",), omitted=("name_description",))
+    scored = price_model.predict(price_model.train(lines, "lr", spec).model, lines, spec)
     return scored.groupBy("l_quantity").agg(
         F.count("*").alias("n"),
         F.round(F.max("log_prediction"), 6).alias("log_prediction"),
@@ -149,7 +150,10 @@ def ml_metrics(spark, sf_dir):
 
 
 def _train_and_score(spark, sf_dir, name, spec=price_model.Features(), folds=0):
-    """Model table as CSV, split by key, train, store the pipeline, load it and score the test rows."""
+    """Model table as CSV, split by key, train, store the pipeline, load it, score the test rows and read the scores back.
+
+    Trees average training labels, so their predictions lie within them (up to rounding); boosting and lines may go beyond.
+    """
     folder, stored = shared_folder(spark, "model-table"), shared_folder(spark, "model")
     file_sinks.write_csv(tables.model_rows(spark, sf_dir), folder)
     train_rows, test_rows = price_model.key_split(files.read_csv(spark, folder), "product_name")
@@ -157,29 +161,74 @@ def _train_and_score(spark, sf_dir, name, spec=price_model.Features(), folds=0):
     price_model.save(trained.model, stored)
     scored = price_model.predict(price_model.load(stored), test_rows, spec)
     predictions = shared_folder(spark, "predictions")
-    price_model.write_predictions(scored, predictions)
-    return scored.select("product_name", "price", price_model.LOG_PREDICTION, "prediction")
+    price_model.write_predictions(scored, predictions, "product_name")
+    written = files.read_csv(spark, predictions)
+    learned = train_rows.agg(F.min(F.col("price").cast("double")).alias("low"), F.max(F.col("price").cast("double")).alias("high"))
+    inside = F.col("prediction").cast("double").between(F.col("low") * (1 - 1e-9), F.col("high") * (1 + 1e-9))
+    return written.crossJoin(learned).select(
+        "product_name",
+        F.col("price").cast("double").cast("bigint").alias("price"),
+        (inside if name == "random_forest" else F.col("prediction").cast("double") > 0).alias("is_plausible"),
+        F.lit(len(trained.scores)).alias("n_settings"),
+    )
+
 
+def _scored_sql(settings: int) -> str:
+    return f"""SELECT product_name, price, true AS is_plausible, {settings}::INTEGER AS n_settings
+    FROM ({SQL["model_table"]}) m WHERE {HELD_OUT.format("product_name")}"""
 
-@query()
+
+NUMBERS = ("avg_rating", "num_review", "num_sold", "shop_num_review", "shop_reply_percentage", "shop_creation_time",
+           "shop_num_follower")
+NUMBERS_ONLY = price_model.Features(categories=(), numerics=NUMBERS, omitted=("name_description",))
+
+
+@query(_scored_sql(6))
 def ml_lr_cv(spark, sf_dir):
     """Linear regression chosen by 5-fold cross-validation over the whole grid."""
     return _train_and_score(spark, sf_dir, "lr", folds=5)
 
 
-@query()
+@query(_scored_sql(0))
 def ml_rf(spark, sf_dir):
     """Random forest of 100 trees with counted words instead of TF-IDF."""
     spec = price_model.Features(text_method="count-vectorizer")
     return _train_and_score(spark, sf_dir, "random_forest", spec)
 
 
-@query()
+@query(_scored_sql(0))
 def ml_gbt(spark, sf_dir):
     """Boosted trees on the numeric listing columns, without shop name and brand."""
+    spec = price_model.Features(numerics=NUMBERS, omitted=("shop_name", "brand"))
+    return _train_and_score(spark, sf_dir, "gbt", spec)
+
+
+@query(_scored_sql(9))
+def ml_rf_cv(spark, sf_dir):
+    """Random forest chosen by 2-fold cross-validation over the whole grid, on numbers only."""
+    return _train_and_score(spark, sf_dir, "random_forest", NUMBERS_ONLY, folds=2)
+
+
+@query(_scored_sql(9))
+def ml_gbt_cv(spark, sf_dir):
+    """Boosted trees chosen by 2-fold cross-validation over the whole grid, on numbers only."""
+    return _train_and_score(spark, sf_dir, "gbt", NUMBERS_ONLY, folds=2)
+
+
+@query(f"WITH {truth.BOTH} SELECT offer_key, true AS has_prediction, 0::BIGINT AS left_out FROM u WHERE price IS NULL")
+def ml_score_unpriced(spark, sf_dir):
+    """A model of the priced listings scores all that have no price."""
+    columns = ["offer_key", "price", "second_category", "brand", *NUMBERS]
+    both = tables.both_stores(spark, sf_dir).select(columns)
+    folder = shared_folder(spark, "clean-listings")
+    both.write.parquet(folder)
+    rows = spark.read.parquet(folder)
     spec = price_model.Features(
-        numerics=("avg_rating", "num_review", "num_sold", "shop_num_review", "shop_reply_percentage",
-                  "shop_creation_time", "shop_num_follower"),
-        omitted=("shop_name", "brand"),
+        categories=("second_category", "brand"), hashed=("second_category",), category_buckets=1 << 10, numerics=NUMBERS,
+        omitted=("name_description",),
     )
-    return _train_and_score(spark, sf_dir, "gbt", spec)
+    model = price_model.train(rows, "lr", spec).model
+    unpriced = rows.filter("price IS NULL").drop("price")
+    scored = price_model.predict(model, unpriced, spec)
+    shown = scored.select("offer_key", F.col("prediction").isNotNull().alias("has_prediction"))
+    return shown.crossJoin(price_model.rows_left_out(unpriced, scored))

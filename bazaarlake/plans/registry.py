@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -25,13 +24,16 @@ def query(sql: str | None = None):
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the session's checkpoint directory, which all executors share.
+    """A new folder that all executors share; it is removed when the driver's JVM ends.
 
-    Only a local session without that setting falls back to a temporary folder.
+    It lies below spark.checkpoint.dir, else below the context's checkpoint folder, else in the warehouse.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="bazaarlake-")
-    return f"{root.rstrip('/')}/bazaarlake/{purpose}-{uuid.uuid4().hex}"
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    folder = f"{root.rstrip('/')}/bazaarlake/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bazaarlake import schemas
 from bazaarlake.operators import clean, ids
-from bazaarlake.operators.listing_html import raw_record
+from bazaarlake.operators.listing_html import detail_fields_b, raw_record
 from bazaarlake.operators.skew import lookup_join, read_table
 from bazaarlake.plans import listings, truth
 from bazaarlake.plans.registry import query, shared_folder
@@ -67,6 +68,19 @@ def tolerant_ndjson(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT 'tree/kind=' || page_id % 3 AS category, url, CAST(page_id AS VARCHAR) AS sold FROM pages"""
+)
+def url_tree_scan(spark, sf_dir):
+    """A tree of URL files without categories: the folder below the root is the category."""
+    folder = shared_folder(spark, "url-tree")
+    lines = read_table(spark, sf_dir, "pages").selectExpr(
+        """concat('{"url": "', url, '", "sold": "', page_id, '"}') AS value""", "page_id % 3 AS kind"
+    )
+    lines.write.partitionBy("kind").text(f"{folder}/tree")
+    return files.read_url_tree(spark, folder)[0]
+
+
 @query(
     """SELECT n_name AS cat_1_name, 'https://a.example/' || n_name || '-cat.' || n_nationkey AS cat_1_url,
       'seeds/region=' || r_name AS category
@@ -138,13 +152,13 @@ def csv_text_scan(spark, sf_dir):
 
 
 UPSERTED = """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS state,
-    o_totalprice FROM orders WHERE o_orderstatus <> 'P' OR o_orderkey % 3 = 0"""
+    o_totalprice FROM orders"""
 
 
 def _upserted(spark, sf_dir):
     folder = shared_folder(spark, "documents")
     orders = read_table(spark, sf_dir, "orders")
-    first = orders.filter("o_orderstatus != 'P'").selectExpr("o_orderkey AS id", "'old' AS state", "o_totalprice")
+    first = orders.selectExpr("o_orderkey AS id", "'old' AS state", "o_totalprice")
     second = orders.filter("o_orderkey % 3 = 0").selectExpr("o_orderkey AS id", "'new' AS state", "o_totalprice")
     for epoch, batch in ((0, first), (1, second), (1, second)):  # the second batch is replayed
         document_table.upsert(batch, folder, epoch)
@@ -166,15 +180,17 @@ def index_readback(spark, sf_dir):
 
 
 @query(
-    """SELECT o_orderkey AS doc, (SELECT max(o_orderkey) FROM orders) + row_number() OVER () > 0 AS is_above
-    FROM orders"""
+    "SELECT o_orderkey AS doc, true AS is_above, 1::BIGINT AS n_with_id FROM orders"
 )
 def increasing_ids(spark, sf_dir):
     """Unique ids above the highest one in use, without a shuffle."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey")
     top = ids.last_id(orders, "o_orderkey").scalar()
-    return ids.increasing_ids(orders, top).select(
-        F.col("o_orderkey").alias("doc"), (F.col("id") > top).alias("is_above")
+    numbered = ids.increasing_ids(orders, top)
+    return numbered.select(
+        F.col("o_orderkey").alias("doc"),
+        (F.col("id") > top).alias("is_above"),
+        F.count("*").over(Window.partitionBy("id")).alias("n_with_id"),
     )
 
 
@@ -212,7 +228,7 @@ def append_products(spark, sf_dir):
 
 
 @query(
-    f"""WITH {truth.LINES}, {truth.CLEAN_A} SELECT offer_key, 10 AS n_fields, shop_name, num_review FROM a"""
+    f"""WITH {truth.LINES}, {truth.CLEAN_A} SELECT *, 10 AS n_fields FROM a"""
 )
 def raw_record_assembly(spark, sf_dir):
     """Raw listing records as JSON text with all ten fields, parsed and cleaned again."""
@@ -223,4 +239,13 @@ def raw_record_assembly(spark, sf_dir):
         F.size(F.json_object_keys("value")).alias("n_fields"),
         F.from_json("value", schemas.RAW_A).alias("r"),
     ).select("offer_key", "n_fields", "r.*")
-    return clean.clean_store_a(parsed).select("offer_key", "n_fields", "shop_name", "num_review")
+    return clean.clean_store_a(parsed)
+
+
+@query(f"WITH {truth.LINES}, {truth.CLEAN_B} SELECT * FROM b")
+def detail_page_record_b(spark, sf_dir):
+    """Store-B detail pages to raw records as JSON text, parsed and cleaned."""
+    pages = detail_fields_b(listings.detail_pages_b(spark, sf_dir), listings.DETAIL_CLASSES)
+    records = pages.select("offer_key", raw_record(pages, "b").alias("value"))
+    parsed = records.select("offer_key", F.from_json("value", schemas.RAW_B).alias("r")).select("offer_key", "r.*")
+    return clean.clean_store_b(parsed)

@@ -28,8 +28,10 @@ def rounded_means(df):
 def model_rows(spark, sf_dir):
     """Imputed, validated and filled listings with text features, one offer per product."""
     df = conform.valid_listings(conform.fill_with_mean(both_stores(spark, sf_dir)))
-    df = conform.add_text_features(conform.fill_with_no_info(conform.fill_with_blank(df)))
-    return dedupe.best_offer(df.drop(*schemas.MODEL_DROPPED), tiebreak=["offer_key"])
+    best = dedupe.best_offer(df, tiebreak=["offer_key"])
+    # Texts are joined for the offers that are kept, so that the shuffle carries each text once.
+    best = conform.add_text_features(conform.fill_with_no_info(conform.fill_with_blank(best)))
+    return best.drop(*schemas.MODEL_DROPPED)
 
 
 @query(f"WITH {truth.BOTH} SELECT * FROM u")
@@ -89,7 +91,7 @@ def model_table(spark, sf_dir):
 
 @query(
     f"""WITH {truth.LINES}, {truth.CLEAN_A}
-    SELECT * REPLACE (price::INTEGER AS price, shop_like_tier::INTEGER AS shop_like_tier) FROM a
+    SELECT * REPLACE (shop_like_tier::INTEGER AS shop_like_tier) FROM a
     {truth.BEST}"""
 )
 def dashboard_table(spark, sf_dir):
@@ -102,7 +104,7 @@ def dashboard_table(spark, sf_dir):
 
 @query(
     """SELECT l_orderkey AS id, l_linenumber AS num_sold,
-      CASE WHEN l_linenumber % 2 = 0 THEN l_partkey END::INTEGER AS price, l_quantity AS avg_rating,
+      CASE WHEN l_linenumber % 2 = 0 THEN 3000000000 + l_partkey END::BIGINT AS price, l_quantity AS avg_rating,
       l_returnflag AS shop_name, NULL::INTEGER AS shop_like_tier, NULL::VARCHAR AS brand
     FROM lineitem"""
 )
@@ -111,7 +113,7 @@ def conform_target_schema(spark, sf_dir):
     lines = read_table(spark, sf_dir, "lineitem").selectExpr(
         "cast(l_orderkey as string) AS id",
         "cast(l_linenumber as string) AS num_sold",
-        "if(l_linenumber % 2 = 0, cast(l_partkey as string), 'Liên hệ') AS price",
+        "if(l_linenumber % 2 = 0, cast(3000000000 + l_partkey as string), 'Liên hệ') AS price",
         "cast(l_quantity as string) AS avg_rating",
         "l_returnflag AS shop_name",
         "'none' AS shop_like_tier",

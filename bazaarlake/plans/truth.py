@@ -14,7 +14,7 @@ o AS (
 
 CLEAN_A = """
 a AS (
-  SELECT offer_key,
+  SELECT 'a-' || offer_key AS offer_key,
     'size ' || p_size || ' flag ' || lower(l_returnflag) AS attrs,
     CASE WHEN l_partkey % 5 <> 0 THEN (30 + l_suppkey % 20) / 10.0 END::DOUBLE AS avg_rating,
     CASE WHEN l_partkey % 7 <> 0 THEN l_partkey % 500 END::INTEGER AS num_review,
@@ -45,12 +45,12 @@ a AS (
       ELSE (l_suppkey % 9 + 1) * (CASE WHEN l_suppkey % 2 = 0 THEN 12 ELSE 1 END) END)::INTEGER
       AS shop_creation_time,
     CASE WHEN l_suppkey % 10 <> 9 THEN l_suppkey * 7 END::INTEGER AS shop_num_follower
-  FROM o WHERE l_linenumber % 2 = 1)
+  FROM o)
 """
 
 CLEAN_B = """
 b AS (
-  SELECT offer_key,
+  SELECT 'b-' || offer_key AS offer_key,
     lower(p_name) || ' brand ' || substr(p_brand, 7) AS product_name,
     CASE WHEN l_partkey % 5 <> 1 THEN (20 + l_suppkey % 30) / 10.0 END::DOUBLE AS avg_rating,
     CASE WHEN l_partkey % 41 <> 1 THEN floor(l_extendedprice) END::BIGINT AS price,
@@ -67,8 +67,7 @@ b AS (
     CASE WHEN l_suppkey % 10 <> 8 THEN (l_suppkey % 100) / 100.0 END::DOUBLE AS shop_rating,
     CASE WHEN l_suppkey % 10 <> 8 THEN (l_suppkey % 90 + 10) / 100.0 END::DOUBLE AS ship_on_time,
     CASE WHEN l_suppkey % 10 <> 8 THEN (l_suppkey % 80 + 20) / 100.0 END::DOUBLE AS shop_reply_percentage
-  FROM o JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
-  WHERE l_linenumber % 2 = 0)
+  FROM o JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey)
 """
 
 BOTH = f"{LINES}, {CLEAN_A}, {CLEAN_B}, u AS (SELECT * FROM a UNION ALL BY NAME SELECT * FROM b)"

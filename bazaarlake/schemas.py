@@ -89,11 +89,11 @@ CLEAN_B = _fields(
     }
 )
 
-# Search-index document: a clean store-A listing with integer price and tier plus a long id.
+# Search-index document: a clean store-A listing with an integer tier plus a long id.
 INDEX_DOCUMENT = T.StructType(
     [T.StructField("id", LONG)]
     + [
-        T.StructField(f.name, INT) if f.name in ("price", "shop_like_tier") else f
+        T.StructField(f.name, INT) if f.name == "shop_like_tier" else f
         for f in CLEAN_A.fields
     ]
 )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake import schemas
 from bazaarlake.operators import catalogue, clean, conform, dedupe, ids, listing_html, product_page, reviews, skew
+from bazaarlake.plans import catalogue as catalogue_of_queries
 
 
 def plan_of(df):
@@ -31,16 +32,10 @@ def skewed(spark):
     return spark.range(9000, numPartitions=6).selectExpr("if(id % 3 = 0, 7, id % 500) AS k", "id % 5 AS v")
 
 
-def test_hot_keys_finds_only_the_hot_key(spark, skewed):
-    expected = spark.sql("select xxhash64(7L)").first()[0]
-    assert skew.hot_keys(skewed, ["k"])[0] == expected
-    assert len(skew.hot_keys(skewed, ["k"])) <= skew.HOT_SHARE
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_lookup_equals_plain_join(spark, skewed, no_broadcast, how):
     lookup = spark.range(0, 400).selectExpr("id AS k", "id * 10 AS w")
-    salted = skew.lookup_join(skewed, lookup, "k", how)
+    salted = skew.lookup_join(skewed, lookup, "k", how, salts=4)
     assert "_salt" in plan_of(salted)
     assert tuples(salted) == tuples(skewed.join(lookup, "k", how))
 
@@ -48,14 +43,28 @@ def test_salted_lookup_equals_plain_join(spark, skewed, no_broadcast, how):
 def test_salting_spreads_the_hot_key(spark, skewed, no_broadcast):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.lookup_join(skewed, spark.range(500).selectExpr("id AS k", "id AS w"), "k")
+        joined = skew.lookup_join(skewed, spark.range(500).selectExpr("id AS k", "id AS w"), "k", salts=4)
         sizes = joined.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(sizes) > 1
 
 
-def test_lookup_join_refuses_different_key_types(spark, skewed, no_broadcast):
+@pytest.mark.parametrize("name", ["best_offer", "enrich_by_url", "model_table", "skip_processed", "review_counts"])
+def test_building_a_plan_starts_no_job(spark, sf_dir, no_broadcast, name):
+    spark.sparkContext.setJobGroup(f"build {name}", "")
+    try:
+        catalogue_of_queries.QUERIES[name](spark, sf_dir)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Reading a Parquet footer is a job of one task.
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"build {name}")]
+    stages = [tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds]
+    assert all(s.numTasks == 1 and "parquet" in s.name for s in stages if s)
+
+
+def test_lookup_join_refuses_different_key_types(spark, skewed):
     with pytest.raises(TypeError):
         skew.lookup_join(skewed, spark.range(9).selectExpr("cast(id AS int) AS k"), "k")
 
@@ -113,6 +122,8 @@ def test_fill_and_validate(spark):
 
 
 def test_to_schema_makes_bad_values_null(spark):
+    large = conform.to_schema(spark.sql("select '3000000000' price"), schemas.INDEX_DOCUMENT).first()
+    assert large.price == 3_000_000_000
     row = conform.to_schema(
         spark.sql("select 'x' price, '2' shop_like_tier, '1.5' avg_rating"), schemas.INDEX_DOCUMENT
     ).first()
@@ -214,6 +225,8 @@ def test_catalogue(spark):
     assert tuples(catalogue.not_processed(products, items, "url")) == [("x", 2)]
     offered = spark.sql("select 1 id, array('a','b') x, cast(array() as array<int>) y")
     assert tuples(catalogue.option_combinations(offered, ["x", "y"])) == [(1, "a", None), (1, "b", None)]
+    gaps = spark.sql("select * from values ('u', null, '9'), ('u', 'shoes', '3'), ('u', 'hats', null) t(url, category, sold)")
+    assert tuples(catalogue.one_item_per_url(gaps)) == [("u", "shoes", "3")]
     words = spark.sql("select ' a  b\ta ' text union all select null")
     assert tuples(catalogue.word_count(words)) == [("a", 2), ("b", 1)]
 
@@ -227,6 +240,16 @@ def test_listing_html(spark):
         (1, "c", "https://h/x"),
         (1, "c", "https://k/y"),
     ]
+    mixed = """<a class="x>y" href='/1?a=1&amp;b=2'>1</a><A id=i\nHREF = "/2">2</A><a href=/3>3</a><abbr href="/4">no</abbr><a name="n">no</a>"""
+    one = spark.createDataFrame([(mixed, "c")], "html string, category string")
+    assert sorted(r.url for r in listing_html.product_links(one, host="k").collect()) == [
+        "https://k/1?a=1&b=2", "https://k/2", "https://k/3",
+    ]
+    html = F.lit("<titles>no</titles><Title a='b'>T</title><p class='big price now'>5 <b>x</b></p><p class=\"prices\">no</p>")
+    row = spark.range(1).select(
+        listing_html.element_text(html, "title"), listing_html.text_by_class(html, "price"), listing_html.text_by_class(html, "none")
+    ).first()
+    assert tuple(row) == ("T", "5 <b>x</b>", None)
     elements = "array<struct<name:string,value:string>>"
     one = spark.createDataFrame([([("a", "1"), ("b", None), ("a", "2")],)], f"e {elements}")
     assert one.select(listing_html.attribute_map(F.col("e"))).first()[0] == {"a": "2", "b": None}
