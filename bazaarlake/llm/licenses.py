@@ -66,7 +66,7 @@ SEGMENT = re.compile(r"[^\n]+?(?:(?<=[.!?])(?=\s)|(?=\n)|$)")
 WORD = re.compile(r"\w+(?:[.-]\w+)*")
 
 
-def blocks(text: str) -> list[str]:
+def blocks(text: str) -> list[list[str]]:
     """Runs of sentences or lines that hold a sign of a license; a run goes on over one short sentence without.
 
     Of a sentence of more than LONG characters only the surroundings of its signs count.
@@ -84,7 +84,7 @@ def blocks(text: str) -> list[str]:
             gap, skipped = 0, []
         elif segment.strip():
             gap, skipped = (1, [segment]) if gap == 0 and len(segment) <= LONG else (2, [])
-    return [" ".join(" ".join(run).split()) for run in runs]
+    return [[part for part in (" ".join(p.split()) for p in run) if part] for run in runs]
 
 
 def _surroundings(segment: str, sign: re.Pattern) -> list[str]:
@@ -137,10 +137,20 @@ class Scanner:
         return best[1] if best else None
 
 
+    def scan_run(self, run: list[str]) -> list[tuple[str, tuple]]:
+        """(block, confirmed license) of a run: the run as one notice, or its sentences if their notices have more words."""
+        whole = " ".join(run)
+        found = [(whole, self.scan(whole))]
+        parts = [(part, self.scan(part)) for part in run] if len(run) > 1 else []
+        words = lambda pairs: sum(len(self.templates[f[0]]) for _, f in pairs if f)
+        best = parts if words(parts) > words(found) else found
+        return [(block, f) for block, f in best if f]
+
+
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
     """One row for each block of each document (doc_id, text) that holds a license notice: FOUND.
 
-    ``block`` counts the document's candidate blocks from 0, ``differences`` lists what the block words otherwise. Null and empty texts and texts
+    ``block`` counts the document's notices from 0, ``differences`` lists what the block words otherwise. Null and empty texts and texts
     without a notice give no row; repeated rows give theirs again. Every whole text is searched; nothing is shuffled.
     """
 
@@ -149,10 +159,8 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) ->
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                for number, block in enumerate(blocks(text)):
-                    found = scanner.scan(block)
-                    if found:
-                        rows.append((doc_id, number, *found, block))
+                notices = (pair for run in blocks(text) for pair in scanner.scan_run(run))
+                rows += [(doc_id, number, *found, block) for number, (block, found) in enumerate(notices)]
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.string(), pa.string()]
             names = [part.split()[0] for part in FOUND.split(", ")]
             columns = list(zip(*rows, strict=True)) or [[]] * len(names)

@@ -19,14 +19,22 @@ CASES = [
 
 @pytest.mark.parametrize("text, name, differences", CASES)
 def test_notice_and_its_differences(text, name, differences):
-    found = [licenses.Scanner(licenses.TEMPLATES).scan(b) for b in licenses.blocks(text)]
-    assert [(f[0], f[3]) for f in found if f] == [(name, differences)]
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    found = [f for run in licenses.blocks(text) for _, f in scanner.scan_run(run)]
+    assert [(f[0], f[3]) for f in found] == [(name, differences)]
 
 
 @pytest.mark.parametrize("text", ["", "A driving licence is a document.", "No copyright here, as is the case.", "plain prose " * 50])
 def test_other_texts_are_left_alone(text):
     scanner = licenses.Scanner(licenses.TEMPLATES)
-    assert not [b for b in licenses.blocks(text) if scanner.scan(b)]
+    assert not [f for run in licenses.blocks(text) for f in scanner.scan_run(run)]
+
+
+def test_notices_side_by_side_are_told_apart():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    text = "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.\nAll rights reserved.\n" + licenses.TEMPLATES["MIT"]
+    found = [f[0] for run in licenses.blocks(text) for _, f in scanner.scan_run(run)]
+    assert found == ["CC-BY-NC-4.0", "MIT-notice", "All-rights-reserved", "MIT"]
 
 
 def test_every_template_finds_itself_first():
