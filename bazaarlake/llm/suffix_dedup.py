@@ -28,11 +28,11 @@ from bazaarlake.llm.storage import write_table
 from bazaarlake.llm.suffix_array import suffix_orders
 
 # Anchors that a task combines before it passes them on.
-COMBINED_ROWS = 400_000
+COMBINED_ROWS = 250_000
 # Anchors with more bytes are first reduced to the strings whose hash repeats in them.
 PLAIN_BYTES = 4096
 # Bytes that are given to one call for suffix arrays.
-BATCH_BYTES = 1_500_000
+BATCH_BYTES = 800_000
 # Bytes of one anchor that a task holds; beyond it, its strings are dealt out one by one.
 HELD_BYTES = 16 << 20
 

@@ -46,7 +46,7 @@ def made(rng):
     return rows
 
 
-@pytest.mark.parametrize("held, combined, plain_bytes, batch", [(16 << 20, 400_000, 4096, 1_500_000), (600, 50, 4096, 900), (16 << 20, 400_000, 300, 700)])
+@pytest.mark.parametrize("held, combined, plain_bytes, batch", [(16 << 20, 250_000, 4096, 800_000), (600, 50, 4096, 900), (16 << 20, 250_000, 300, 700)])
 def test_removed_bytes_equal_brute_force(spark, monkeypatch, held, combined, plain_bytes, batch):
     monkeypatch.setattr(suffix_dedup, "COMBINED_ROWS", combined)
     monkeypatch.setattr(suffix_dedup, "PLAIN_BYTES", plain_bytes)
