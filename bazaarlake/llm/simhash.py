@@ -227,10 +227,14 @@ def keep_one(docs: DataFrame, radius: int, shingle_words: int, accept: int) -> D
 
     Rows with the same doc_id are told apart by a hash of their text; rows without a doc_id come last.
     """
-    grouped = near_duplicates(docs, radius, shingle_words, accept)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "fp")
     # A component without any doc_id is named by its fingerprints alone, which are all it has.
     name = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp"))]
+    return keep_rows(docs, near_duplicates(docs, radius, shingle_words, accept), name, "fp")
+
+
+def keep_rows(docs: DataFrame, grouped: DataFrame, name: list, last: str) -> DataFrame:
+    """The rows of docs that come first (by doc_id, text_hash and the column ``last``) in their group of ``grouped``."""
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", last)
     kept = grouped.groupBy(*name).agg(F.min(order).alias("k"))
     kept = write_table(kept.select(F.col("k.doc_id").alias("id"), F.col("k.text_hash").alias("hash")).distinct(), "kept")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"), F.xxhash64("text").alias("row_hash"))
