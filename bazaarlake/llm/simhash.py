@@ -180,15 +180,24 @@ def links(fps: DataFrame, radius: int, accept: int, group_rows: int) -> DataFram
 
     values = F.array(*(F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in first))
     found = write_table(grouped(fps.select(F.posexplode(values).alias("tbl", "masked"), "fp"), group_rows), "links")
-    again = []
-    for mask in first:
-        free = masks(radius, [p for p in range(64) if not mask >> p & 1])
-        again.append(F.array(*(F.lit(_signed(mask | m)) for m in free)))
-    fuller = F.element_at(F.array(*again), F.col("tbl") + 1)
-    large = found.filter("tbl >= 0").select("tbl", F.col("b").alias("fp"), F.posexplode(fuller).alias("sub", "mask"))
-    large = large.select(
-        (F.col("tbl") * len(first) + F.col("sub")).cast("int").alias("tbl"), F.expr("fp & mask").alias("masked"), "fp"
-    )
+
+    def mask_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of large groups under masks that cover all that is accepted, as it is in smaller groups."""
+        fuller = {}
+        for batch in batches:
+            tbl, fp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tbl", "fp"))
+            for t in np.unique(tbl).tolist():
+                if t not in fuller:
+                    free = masks(accept, [p for p in range(64) if not first[t] >> p & 1])
+                    fuller[t] = np.array([_signed(first[t] | m) for m in free])
+                own, number = fp[tbl == t], len(fuller[t])
+                for at in range(0, len(own), 1024):
+                    part = own[at : at + 1024]
+                    sub = np.tile(np.arange(t * number, (t + 1) * number, dtype=np.int32), len(part))
+                    arrays = [sub, (part[:, None] & fuller[t]).ravel(), np.repeat(part, number)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in arrays], names=["tbl", "masked", "fp"])
+
+    large = found.filter("tbl >= 0").select("tbl", F.col("b").alias("fp")).mapInArrow(mask_again, "tbl int, masked long, fp long")
     edges = found.filter("tbl < 0").union(grouped(large, float("inf")))
     return edges.select("a", "b")
 

@@ -108,6 +108,21 @@ def test_scattered_fingerprints_in_one_group_are_masked_again(spark):
         assert got == want
 
 
+def test_group_size_does_not_change_links_beyond_the_radius(spark):
+    rng = random.Random(11)
+    # All fingerprints share the bits of one mask, and pairs differ in 3 to 5 others: more than masks of radius 1 cover.
+    mask = simhash.masks(1, list(range(64)), 100)[0]
+    free = [b for b in range(63) if not mask >> b & 1]
+    fps = [sum(1 << b for b in free if rng.random() < 0.5) for _ in range(60)]
+    fps += [f ^ sum(1 << b for b in rng.sample(free, 3 + i % 3)) for i, f in enumerate(fps)]
+    df = spark.createDataFrame([(f,) for f in set(fps)], "fp long")
+    got = []
+    for limit in (9, 4096):
+        linked = {frozenset((e.a, e.b)) for e in simhash.links(df, 1, 5, limit).collect()}
+        got.append(plain_components(set(fps), lambda a, b: frozenset((a, b)) in linked))
+    assert got[0] == got[1] and len(set(got[1].values())) <= 60
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0
