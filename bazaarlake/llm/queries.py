@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import decontaminate, langid, licenses, mixing, neighbours, simhash, suffix_dedup, toxicity, url_rules, warc
+from bazaarlake.llm import (
+    conversations,
+    decontaminate,
+    langid,
+    licenses,
+    mixing,
+    neighbours,
+    resampling,
+    sharding,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    url_rules,
+    warc,
+)
 from bazaarlake.llm.storage import read, write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +108,22 @@ def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the site rules, then by the pattern rules."""
     return url_rules.judge(read(spark, sf_dir, "pages", "page_id", "url"))
+
+
+@query(conversations.SQL)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage and its cheapest repair."""
+    return conversations.repair_damaged(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+@query(sharding.SQL)
+def op12_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.assign(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query(resampling.SQL)
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document towards the benchmark, and the rank of the drawn ones."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return resampling.resample(docs, read(spark, sf_dir, "benchmark", "text"))
