@@ -8,7 +8,7 @@
    side. Of equal strings all but the earliest are repeats.
 3. The repeats of a document are merged and cut out.
 
-Documents are told apart by doc_id; versions with the same doc_id by 16 bits of a hash of their text.
+Documents are numbered first, in the order of doc_id and then of a hash of 128 bits; the number tells them apart and orders them.
 """
 
 from __future__ import annotations
@@ -19,12 +19,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.llm.anchors import LENGTH, runs
-from bazaarlake.llm.storage import write_table
+from bazaarlake.llm.storage import drop_table, write_table
 from bazaarlake.llm.suffix_array import suffix_orders
 
 # Anchors that a task combines before it passes them on.
@@ -33,14 +34,16 @@ COMBINED_ROWS = 250_000
 PLAIN_BYTES = 4096
 # Bytes that are given to one call for suffix arrays.
 BATCH_BYTES = 800_000
+# Documents of one range are numbered within so many bits.
+NUMBER_BITS = 40
 # Bytes of one anchor that a task holds; beyond it, its strings are dealt out one by one.
 HELD_BYTES = 16 << 20
 
-# start, 16 bits of the text's hash and the number of starts (0: a repeat, whose bytes are counted in `fragment`) in one number.
-CANDIDATES = "key long, fragment long, doc_id long, span long"
+# span: start and the number of starts (0: a repeat, whose bytes are counted in `fragment`) in one number.
+CANDIDATES = "key long, fragment long, doc long, span long"
 # kind 0: a repeat; 1: a fragment to be compared; 2: a single string (key and fragment are its hash).
-RESULTS = "kind int, key long, fragment long, doc_id long, bits int, start long, length long"
-FRAGMENTS = "key long, doc_id long, bits int, start long, data binary"
+RESULTS = "kind int, key long, fragment long, doc long, start long, length long"
+FRAGMENTS = "key long, doc long, start long, data binary"
 
 
 def _batch(schema: str, *columns) -> pa.RecordBatch:
@@ -50,27 +53,62 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
 
 
-def _merge(doc, bits, start, length) -> tuple[np.ndarray, ...]:
+def _merge(doc, start, length) -> tuple[np.ndarray, ...]:
     """Intervals of the same document that overlap or touch as one."""
-    by = np.lexsort((start, bits, doc))
-    doc, bits, start, end = doc[by], bits[by], start[by], (start + length)[by]
+    by = np.lexsort((start, doc))
+    doc, start, end = doc[by], start[by], (start + length)[by]
     if not len(doc):
-        return doc, bits, start, end
-    fresh = np.r_[True, (doc[1:] != doc[:-1]) | (bits[1:] != bits[:-1])]
+        return doc, start, end
+    fresh = np.r_[True, doc[1:] != doc[:-1]]
     # Ends so far, per document: documents are put one after the other on one line.
     offset = np.cumsum(fresh) * (int(end.max()) + 2)
     reach = np.maximum.accumulate(end + offset)
     begin = np.flatnonzero(fresh | np.r_[True, (start + offset)[1:] > reach[:-1]])
-    return doc[begin], bits[begin], start[begin], (reach - offset)[np.r_[begin[1:], len(doc)] - 1] - start[begin]
+    return doc[begin], start[begin], (reach - offset)[np.r_[begin[1:], len(doc)] - 1] - start[begin]
 
 
-def _identified(docs: DataFrame) -> DataFrame:
-    """Rows with a number instead of a null doc_id (the largest) and the bits that tell versions apart."""
-    number = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    return docs.withColumns({"_number": number, "_bits": F.xxhash64("text").bitwiseAND(F.lit(0xFFFF)).cast("int")})
+def _numbered(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The columns to keep, _doc, _bytes and _packed (the text compressed with Zstandard) of every row, written.
 
+    _doc numbers documents in the order of doc_id, nulls last, and then of a hash of 128 bits of the text; rows that repeat both
+    have one number. Rows without a doc_id are cut into ranges by the hash.
+    """
 
-def _candidates(docs: DataFrame) -> DataFrame:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in batch.column("text")]
+            packed = pa.array([compressor.compress(t) for t in texts], pa.binary())
+            digests = pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary())
+            columns = [*(batch.column(c) for c in ("_id", *keep)), pa.array([len(t) for t in texts], pa.int64()), digests, packed]
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", *keep, "_bytes", "_digest", "_packed"])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, count = None, TaskContext.get().partitionId() << NUMBER_BITS
+        for batch in batches:
+            numbers = []
+            for row in zip(batch.column("_id").to_pylist(), batch.column("_digest").to_pylist(), strict=True):
+                count += row != last
+                numbers.append(count)
+                last = row
+            columns = [*(batch.column(c) for c in (*keep, "_bytes", "_packed")), pa.array(numbers, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "_bytes", "_packed", "_doc"])
+
+    docs = docs.withColumn("_id", F.col("doc_id").cast("long"))
+    kept = [docs.schema[c] for c in keep]
+    size, text = T.StructField("_bytes", T.LongType()), T.StructField("_packed", T.BinaryType())
+    fields = [docs.schema["_id"], *kept, size, T.StructField("_digest", T.BinaryType()), text]
+    packed = docs.select(*dict.fromkeys(["_id", *keep, "text"])).mapInArrow(pack, T.StructType(fields))
+    packed = write_table(packed, "suffix-packed")
+    order = [F.col("_id").asc_nulls_last(), F.col("_digest").asc()]
+    ranges = packed.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = ranges.mapInArrow(number, T.StructType([*kept, size, text, T.StructField("_doc", T.LongType())]))
+    numbered = write_table(numbered, "suffix-texts")
+    drop_table(packed)
+    return numbered
+
+
+def _candidates(texts: DataFrame) -> DataFrame:
     """CANDIDATES: one row per fragment that no other of the task equals and precedes, and the repeats found on the way."""
 
     def combine(rows) -> Iterator[pa.RecordBatch]:
@@ -79,21 +117,20 @@ def _candidates(docs: DataFrame) -> DataFrame:
         key, fragment, doc, span = key[by], fragment[by], doc[by], span[by]
         first = np.r_[True, (key[1:] != key[:-1]) | (fragment[1:] != fragment[:-1])]
         head = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
-        later = (doc != doc[head]) | (span >> 23 != span[head] >> 23)
+        later = (doc != doc[head]) | (span >> 7 != span[head] >> 7)
         yield _batch(CANDIDATES, key[~later], fragment[~later], doc[~later], span[~later])
-        doc, span = doc[later], span[later]
-        doc, bits, start, length = _merge(doc, span >> 7 & 0xFFFF, span >> 23, (span & 127) + LENGTH - 1)
+        doc, start, length = _merge(doc[later], span[later] >> 7, (span[later] & 127) + LENGTH - 1)
         # Any key will do for these: it only spreads them.
-        yield _batch(CANDIDATES, (doc * 0x9E3779B1) ^ (start * 0x85EBCA77), length, doc, start << 23 | bits << 7)
+        yield _batch(CANDIDATES, (doc * 0x9E3779B1) ^ (start * 0x85EBCA77), length, doc, start << 7)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
+        rows, size, decompressor = [], 0, zstandard.ZstdDecompressor()
         for batch in batches:
-            columns = (batch.column(c) for c in ("_number", "_bits", "text"))
-            for number, bits, text in zip(*columns, strict=True):
-                data = text.as_py().encode("utf-8", "surrogatepass")
+            columns = (batch.column(c) for c in ("_doc", "_packed"))
+            for number, packed in zip(*columns, strict=True):
+                data = decompressor.decompress(packed.as_py())
                 for key, fragment, start, count in runs(data):
-                    rows.append((key, fragment, np.full(len(key), number.as_py()), start << 23 | bits.as_py() << 7 | count))
+                    rows.append((key, fragment, np.full(len(key), number.as_py()), start << 7 | count))
                     size += len(key)
                 if size >= COMBINED_ROWS:
                     yield from combine(rows)
@@ -101,8 +138,7 @@ def _candidates(docs: DataFrame) -> DataFrame:
         if rows:
             yield from combine(rows)
 
-    long_enough = docs.filter(F.octet_length("text") >= LENGTH).select("_number", "_bits", "text")
-    return long_enough.mapInArrow(scan, CANDIDATES)
+    return texts.filter(F.col("_bytes") >= LENGTH).select("_doc", "_packed").mapInArrow(scan, CANDIDATES)
 
 
 def _resolve(candidates: DataFrame) -> DataFrame:
@@ -115,7 +151,7 @@ def _resolve(candidates: DataFrame) -> DataFrame:
             key, fragment, doc, span = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             known = (span & 127) == 0
             if known.any():
-                columns = doc[known], (span[known] >> 7 & 0xFFFF), span[known] >> 23, fragment[known]
+                columns = doc[known], span[known] >> 7, fragment[known]
                 zero = np.zeros(len(columns[0]), np.int64)
                 yield _batch(RESULTS, zero, zero, zero, *columns)
             rows = [c[~known] for c in (key, fragment, doc, span)]
@@ -128,7 +164,7 @@ def _resolve(candidates: DataFrame) -> DataFrame:
             anchor = np.r_[True, key[1:] != key[:-1]]
             first = anchor | np.r_[True, fragment[1:] != fragment[:-1]]
             head = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
-            later = (doc != doc[head]) | (span >> 23 != span[head] >> 23)
+            later = (doc != doc[head]) | (span >> 7 != span[head] >> 7)
             number = np.cumsum(anchor) - 1
             several = np.bincount(number, first) > 1
             several[0] |= carried and asked
@@ -138,49 +174,33 @@ def _resolve(candidates: DataFrame) -> DataFrame:
             for kind, chosen in ((0, later), (1, wanted)):
                 if chosen.any():
                     s = span[chosen]
-                    columns = key[chosen], fragment[chosen], doc[chosen], s >> 7 & 0xFFFF, s >> 23, (s & 127) + LENGTH - 1
+                    columns = key[chosen], fragment[chosen], doc[chosen], s >> 7, (s & 127) + LENGTH - 1
                     yield _batch(RESULTS, np.full(len(s), kind), *columns)
             held = tuple(c[head[-1]] for c in rows)
             asked = bool(several[number[-1]])
 
-    dealt = candidates.repartition("key").sortWithinPartitions("key", "fragment", "doc_id", "span")
+    dealt = candidates.repartition("key").sortWithinPartitions("key", "fragment", "doc", "span")
     return dealt.mapInArrow(stream, RESULTS)
 
 
-def _packed(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """The columns to keep and the text compressed with Zstandard, which is what the joins have to move."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressor = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            packed = [compressor.compress((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in batch.column("text")]
-            columns = [*(batch.column(c) for c in ("_number", "_bits", *keep)), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["_number", "_bits", *keep, "_packed"])
-
-    fields = [*(docs.schema[c] for c in ("_number", "_bits", *keep)), T.StructField("_packed", T.BinaryType())]
-    return docs.select(*dict.fromkeys(["_number", "_bits", *keep, "text"])).mapInArrow(pack, T.StructType(fields))
-
-
-def _fragments(docs: DataFrame, requests: DataFrame) -> DataFrame:
+def _fragments(texts: DataFrame, requests: DataFrame) -> DataFrame:
     """FRAGMENTS: the bytes of the fragments that are to be compared."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decompressor = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
-            for number, bits, packed, wanted in zip(*batch.columns, strict=True):
+            for number, packed, wanted in zip(*batch.columns, strict=True):
                 data = decompressor.decompress(packed.as_py())
                 for w in wanted.as_py():
                     piece = data[w["start"] : w["start"] + w["length"]]
-                    rows.append((w["key"], number.as_py(), bits.as_py(), w["start"], piece))
+                    rows.append((w["key"], number.as_py(), w["start"], piece))
             if rows:
                 yield _batch(FRAGMENTS, *zip(*rows, strict=True))
 
-    wanted = requests.groupBy("doc_id", "bits").agg(F.collect_list(F.struct("key", "start", "length")).alias("_wanted"))
-    same = (F.col("_number") == F.col("doc_id")) & (F.col("_bits") == F.col("bits"))
-    texts = _packed(docs.filter(F.octet_length("text") >= LENGTH), [])
+    wanted = requests.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "length")).alias("_wanted"))
     # Both sides grow with the documents: joined by a shuffle at every size.
-    joined = texts.join(wanted.hint("merge"), same).select("_number", "_bits", "_packed", "_wanted")
+    joined = texts.join(wanted.hint("merge"), F.col("_doc") == F.col("doc")).select("_doc", "_packed", "_wanted")
     return joined.mapInArrow(cut, FRAGMENTS)
 
 
@@ -194,7 +214,7 @@ def string_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def _trim(pieces: list[tuple]) -> list[tuple]:
-    """The parts of fragments (data, doc, bits, start) whose strings have a hash that occurs again among them."""
+    """The parts of fragments (data, doc, start) whose strings have a hash that occurs again among them."""
     data = np.frombuffer(b"".join(p[0] for p in pieces), np.uint8)
     sizes = np.array([len(p[0]) for p in pieces])
     ends = np.cumsum(sizes)
@@ -208,24 +228,24 @@ def _trim(pieces: list[tuple]) -> list[tuple]:
     stop = np.flatnonzero(again & np.r_[~again[1:] | (owner[1:] != owner[:-1]), True]) + LENGTH
     found = []
     for a, b in zip(begin.tolist(), stop.tolist(), strict=True):
-        whole, doc, bits, start = pieces[owner[a]]
+        whole, doc, start = pieces[owner[a]]
         at = a - int(ends[owner[a]]) + len(whole)
-        found.append((whole[at : at + b - a], doc, bits, start + at))
+        found.append((whole[at : at + b - a], doc, start + at))
     return found
 
 
 def _distinct(pieces: list[tuple]) -> tuple[list[tuple], list[tuple]]:
     """The earliest of equal pieces, and the intervals of the others."""
     kept, repeats = {}, []
-    for piece in sorted(pieces, key=lambda p: (p[1], p[3])):
+    for piece in sorted(pieces, key=lambda p: p[1:3]):
         first = kept.setdefault(piece[0], piece)
-        if (first[1], first[3]) != (piece[1], piece[3]):
+        if first[1:] != piece[1:]:
             repeats.append((*piece[1:], len(piece[0])))
     return list(kept.values()), repeats
 
 
 def repeats_among(anchors: list[list[tuple]]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Intervals (doc, bits, start, length) of repeated strings among the pieces of each anchor, from suffix arrays."""
+    """Intervals (doc, start, length) of repeated strings among the pieces of each anchor, from suffix arrays."""
     anchors = [a for a in anchors if len(a) > 1]
     if not anchors:
         return
@@ -255,25 +275,25 @@ def repeats_among(anchors: list[list[tuple]]) -> Iterator[tuple[np.ndarray, ...]
         equal[part + 1] = (text[a[part][:, None] + reach] == text[b[part][:, None] + reach]).all(axis=1)
     strings = np.flatnonzero(equal | np.r_[equal[1:], False])
     number, at = np.cumsum(~equal)[strings], order[strings]
-    doc, bits, start = (np.array([p[k] for p in pieces], np.int64)[owner[at]] for k in (1, 2, 3))
+    doc, start = (np.array([p[k] for p in pieces], np.int64)[owner[at]] for k in (1, 2))
     start = start + at - begin[owner[at]]
     by = np.lexsort((start, doc, number))
-    number, doc, bits, start = number[by], doc[by], bits[by], start[by]
+    number, doc, start = number[by], doc[by], start[by]
     head = np.maximum.accumulate(np.where(np.r_[True, number[1:] != number[:-1]][: len(number)], np.arange(len(number)), 0))
     later = (doc != doc[head]) | (start != start[head])
     if later.any():
-        yield _merge(doc[later], bits[later], start[later], np.full(int(later.sum()), LENGTH))
+        yield _merge(doc[later], start[later], np.full(int(later.sum()), LENGTH))
 
 
 def _single_strings(pieces: list[tuple]) -> tuple[list[tuple], list[tuple]]:
-    """Every distinct string of the pieces, earliest first, as (hash, hash, doc, bits, start), and the repeats."""
+    """Every distinct string of the pieces, earliest first, as (hash, hash, doc, start), and the repeats."""
     kept, repeats = {}, []
-    for data, doc, bits, start in sorted(pieces, key=lambda p: (p[1], p[3])):
+    for data, doc, start in sorted(pieces, key=lambda p: p[1:3]):
         for at in range(len(data) - LENGTH + 1):
             value = xxhash.xxh3_128_digest(data[at : at + LENGTH])
-            first = kept.setdefault(value, (doc, bits, start + at))
-            if (first[0], first[2]) != (doc, start + at):
-                repeats.append((doc, bits, start + at, LENGTH))
+            first = kept.setdefault(value, (doc, start + at))
+            if first != (doc, start + at):
+                repeats.append((doc, start + at, LENGTH))
     split = [(*np.frombuffer(v, np.int64).tolist(), *place) for v, place in kept.items()]
     return split, repeats
 
@@ -286,14 +306,14 @@ def _compare(fragments: DataFrame, held_bytes: int) -> DataFrame:
         ready: list[list[tuple]] = []
         filled = 0
 
-        def spans(doc, bits, start, length):
+        def spans(doc, start, length):
             zero = np.zeros(len(doc), np.int64)
-            return _batch(RESULTS, zero, zero, zero, doc, bits, start, length)
+            return _batch(RESULTS, zero, zero, zero, doc, start, length)
 
         def deal(pieces):
             strings, repeats = _single_strings(pieces)
-            h1, h2, doc, bits, start = zip(*strings, strict=True)
-            yield _batch(RESULTS, [2] * len(doc), h1, h2, doc, bits, start, [LENGTH] * len(doc))
+            h1, h2, doc, start = zip(*strings, strict=True)
+            yield _batch(RESULTS, [2] * len(doc), h1, h2, doc, start, [LENGTH] * len(doc))
             if repeats:
                 yield spans(*zip(*repeats, strict=True))
 
@@ -316,11 +336,11 @@ def _compare(fragments: DataFrame, held_bytes: int) -> DataFrame:
                 filled = 0
 
         for batch in batches:
-            for value, doc, bits, start, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for value, doc, start, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if value != key:
                     yield from close(pieces, size, dealt)
                     key, pieces, size, dealt = value, [], 0, False
-                pieces.append((data, doc, bits, start))
+                pieces.append((data, doc, start))
                 size += len(data)
                 if size > held_bytes:
                     yield from deal(pieces)
@@ -332,16 +352,16 @@ def _compare(fragments: DataFrame, held_bytes: int) -> DataFrame:
     return fragments.repartition("key").sortWithinPartitions("key").mapInArrow(stream, RESULTS)
 
 
-def repeats(docs: DataFrame, held_bytes: int = HELD_BYTES) -> DataFrame:
+def repeats(texts: DataFrame, held_bytes: int = HELD_BYTES) -> DataFrame:
     """RESULTS of kind 0: intervals that together are all bytes of a string that also starts earlier."""
-    first = write_table(_resolve(_candidates(docs)), "suffix-runs")
+    first = write_table(_resolve(_candidates(texts)), "suffix-runs")
     requests = first.filter("kind = 1")
-    second = write_table(_compare(_fragments(docs, requests), held_bytes), "suffix-repeats")
+    second = write_table(_compare(_fragments(texts, requests), held_bytes), "suffix-repeats")
     strings = second.filter("kind = 2").select(
-        "key", "fragment", "doc_id", F.expr("shiftleft(start, 23) | shiftleft(cast(bits AS bigint), 7) | 1").alias("span")
+        "key", "fragment", "doc", F.expr("shiftleft(start, 7) | 1").alias("span")
     )
     third = _resolve(strings)
-    return first.union(second).union(third).filter("kind = 0").select("doc_id", "bits", "start", "length")
+    return first.union(second).union(third).filter("kind = 0").select("doc", "start", "length")
 
 
 def remove_repeats(
@@ -349,19 +369,16 @@ def remove_repeats(
 ) -> DataFrame:
     """The columns to keep of every row of docs (doc_id, text), ``kept`` (the remaining bytes), n_bytes, n_removed and n_spans.
 
-    A byte goes if a string of LENGTH bytes that covers it also starts earlier: in a row with a smaller doc_id, or at an earlier place in a row with
-    the same doc_id. A null doc_id counts as the largest. Rows that repeat doc_id and text are judged alike, as neither starts earlier.
-    Null texts count as empty. Strings never cross rows and are judged on the whole input. With ``as_text`` kept is a string, without the
+    A byte goes if a string of LENGTH bytes that covers it also starts earlier: in a row with a smaller doc_id, or at an earlier place in the
+    same row. Rows without a doc_id come behind all others; of rows with equal ids, or none, and different texts, those come first whose
+    text has the smaller hash (128 bits). Rows that repeat doc_id and text are one document and are judged alike. Null texts count as empty. Strings never cross rows and are judged on the whole input. With ``as_text`` kept is a string, without the
     rest of characters that were cut in two.
     """
     columns = [c for c in keep if c not in ("kept", "n_bytes", "n_removed", "n_spans")]
-    identified = _identified(docs)
-    spans = repeats(identified, held_bytes).groupBy("doc_id", "bits")
+    texts = _numbered(docs, columns)
+    spans = repeats(texts, held_bytes).groupBy(F.col("doc").alias("_span_doc"))
     spans = spans.agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_span_doc"), F.col("bits").alias("_span_bits"), "_spans")
-    joined = _packed(identified, columns).join(
-        spans.hint("merge"), (F.col("_number") == F.col("_span_doc")) & (F.col("_bits") == F.col("_span_bits")), "left"
-    )
+    joined = texts.join(spans.hint("merge"), F.col("_doc") == F.col("_span_doc"), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decompressor = zstandard.ZstdDecompressor()

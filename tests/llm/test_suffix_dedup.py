@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import xxhash
 
 from bazaarlake.llm import suffix_dedup
 
@@ -9,7 +10,8 @@ LENGTH = 100
 
 def plain(rows):
     """Kept bytes, removed bytes and spans of each row, from all strings of LENGTH bytes."""
-    texts = [(2**63 - 1 if i is None else i, (t or "").encode()) for i, t in rows]
+    # Rows of one id, or of none, are ordered by the hash of their text.
+    texts = [((i is None, i or 0, xxhash.xxh3_128_digest((t or "").encode())), (t or "").encode()) for i, t in rows]
     first = {}
     for i, data in texts:
         for s in range(len(data) - LENGTH + 1):
@@ -62,3 +64,16 @@ def test_empty_table_and_clashing_columns(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, kept string")
     assert suffix_dedup.remove_repeats(docs, ["doc_id", "kept"]).columns == ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"]
     assert suffix_dedup.remove_repeats(docs, ["doc_id"]).count() == 0
+
+
+def test_thousands_of_rows_without_ids_and_with_one_id(spark):
+    rng = random.Random(6)
+    clean = lambda: "".join(rng.choice("abcdefghijklmnop ") for _ in range(160))
+    passage = clean()
+    rows = [(None if n % 2 else 7, clean()) for n in range(3000)]
+    rows += [(None if n % 2 else 7, clean() + passage + clean()) for n in range(1000)]
+    rows += [(None, rows[1][1]), (7, rows[0][1]), (2**63 - 1, passage), *rows[3990:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffix_dedup.remove_repeats(docs, ["doc_id"]).collect()
+    got = sorted(((r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in got), key=str)
+    assert got == plain(rows)
