@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.llm.anchors import LENGTH, runs
-from bazaarlake.llm.storage import drop_table, write_table
+from bazaarlake.llm.storage import write_table
 from bazaarlake.llm.suffix_array import suffix_orders
 
 # Anchors that a task combines before it passes them on.
@@ -34,6 +34,8 @@ COMBINED_ROWS = 250_000
 PLAIN_BYTES = 4096
 # Bytes that are given to one call for suffix arrays.
 BATCH_BYTES = 800_000
+# Fragments that a task cuts before it passes them on.
+CUT_ROWS = 10_000
 # Documents of one range are numbered within so many bits.
 NUMBER_BITS = 40
 # Bytes of one anchor that a task holds; beyond it, its strings are dealt out one by one.
@@ -77,10 +79,13 @@ def _numbered(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in batch.column("text")]
-            packed = pa.array([compressor.compress(t) for t in texts], pa.binary())
-            digests = pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary())
-            columns = [*(batch.column(c) for c in ("_id", *keep)), pa.array([len(t) for t in texts], pa.int64()), digests, packed]
+            rows = []
+            for value in batch.column("text"):
+                data = (value.as_py() or "").encode("utf-8", "surrogatepass")
+                rows.append((len(data), xxhash.xxh3_128_digest(data), compressor.compress(data)))
+            sizes, digests, packed = zip(*rows, strict=True) if rows else ((), (), ())
+            made = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(packed, pa.binary())]
+            columns = [*(batch.column(c) for c in ("_id", *keep)), *made]
             yield pa.RecordBatch.from_arrays(columns, names=["_id", *keep, "_bytes", "_digest", "_packed"])
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,12 +104,11 @@ def _numbered(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     size, text = T.StructField("_bytes", T.LongType()), T.StructField("_packed", T.BinaryType())
     fields = [docs.schema["_id"], *kept, size, T.StructField("_digest", T.BinaryType()), text]
     packed = docs.select(*dict.fromkeys(["_id", *keep, "text"])).mapInArrow(pack, T.StructType(fields))
-    packed = write_table(packed, "suffix-packed")
     order = [F.col("_id").asc_nulls_last(), F.col("_digest").asc()]
+    # Texts are packed twice, for the cuts of the ranges and for the ranges; that costs less than writing them in between.
     ranges = packed.repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = ranges.mapInArrow(number, T.StructType([*kept, size, text, T.StructField("_doc", T.LongType())]))
     numbered = write_table(numbered, "suffix-texts")
-    drop_table(packed)
     return numbered
 
 
@@ -195,6 +199,9 @@ def _fragments(texts: DataFrame, requests: DataFrame) -> DataFrame:
                 for w in wanted.as_py():
                     piece = data[w["start"] : w["start"] + w["length"]]
                     rows.append((w["key"], number.as_py(), w["start"], piece))
+                if len(rows) >= CUT_ROWS:
+                    yield _batch(FRAGMENTS, *zip(*rows, strict=True))
+                    rows = []
             if rows:
                 yield _batch(FRAGMENTS, *zip(*rows, strict=True))
 
