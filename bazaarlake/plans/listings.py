@@ -125,6 +125,31 @@ def detail_pages_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_b(spark, sf_dir).select("offer_key", "url", html.alias("html"))
 
 
+NESTED_CLASSES = {
+    "product_name": "name", "avg_rating": "score", "price": "now", "brand_name": "brand", "num_review": "reviews",
+    "shop_info": "seller", "category": "crumb", "product_desc": "detail", "option": "option", "value": "sku-name",
+    "scale": "tabpath", "sized": "selected", "scale_text": "Int",
+}
+
+
+def nested_pages_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p_partkey, html): a detail page of every part, whose elements hold others of their own tag, comments and void tags."""
+    size = """concat('<div class="option"><div><h6>Size</h6></div><div class="tabpath"><div>', if(p_size % 3 = 0, 'EU', ' Int '),
+      '</div></div><div class="box"><div class="box selected">', p_size, '</div></div></div>')"""
+    html = F.expr(
+        f"""concat('<!DOCTYPE html><html><head><title>1 > 0</title><script>var x = "<div class=name>no</div>" < 1;</script></head><body>
+        <!-- <div class="name">not this</div> --><div class="page"><br/><img src="a>b.png"><div data-x="</div>" class="big name"><div><i>',
+        p_name, '</i></div><br><div> of <!-- </div> -->', p_brand, '</div></div><DIV CLASS=''price now''><div>₫</div><div>', p_size, '</div></DIV>',
+        if(p_partkey % 4 = 0, '', concat('<div class=score><div><div>', p_size % 5, '</div>.5</div></div>')),
+        '<div class="brand"><div>', p_brand, '</div></div><div class="reviews"><div>', p_partkey % 7, '</div> &lt;votes&gt;</div>',
+        '<ul class="crumbs"><li class="crumb"><ul><li>', 'box ', p_size, '</li></ul></li><li class="crumb">', p_type, '</li></ul>',
+        '<div class="option"><h6>Colour</h6><div class="choice"><div class="sku-name"><div>c', p_size, '</div></div></div></div>', {size},
+        '<div class="seller"><div>shop</div> <div>', 'box ', p_size, '</div></div><hr class="detail-line">',
+        '<div class="html detail"><div>', p_type, '<br><div>deep</div></div>', if(p_partkey % 5 = 0, '', '</div></div><p>after</p></body></html>'))"""
+    )
+    return spread_scan(read_table(spark, sf_dir, "part")).select("p_partkey", html.alias("html"))
+
+
 # Variant numbers of a page: 3 has a blank SKU id; 0 is called "9" on pages without a default SKU.
 PAGE_EXPRESSION = """
 to_json(named_struct('data', named_struct('root', named_struct('fields', named_struct(

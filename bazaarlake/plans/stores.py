@@ -249,3 +249,20 @@ def detail_page_record_b(spark, sf_dir):
     records = pages.select("offer_key", raw_record(pages, "b").alias("value"))
     parsed = records.select("offer_key", F.from_json("value", schemas.RAW_B).alias("r")).select("offer_key", "r.*")
     return clean.clean_store_b(parsed)
+
+
+@query(
+    """SELECT p_partkey, p_name || ' of ' || p_brand AS product_name, '₫' || p_size AS price,
+      CASE WHEN p_partkey % 4 <> 0 THEN (p_size % 5) || '.5' END AS avg_rating, p_brand AS brand_name,
+      (p_partkey % 7) || ' <votes>' AS num_review, 'shop box ' || p_size AS shop_info, 'box ' || p_size || '/' || p_type AS category,
+      2::INTEGER AS n_attrs, 'c' || p_size AS colour, CASE WHEN p_size % 3 <> 0 THEN CAST(p_size AS VARCHAR) END AS size,
+      '<div>' || p_type || '<br><div>deep</div></div>' AS product_desc
+    FROM part"""
+)
+def detail_page_nested_b(spark, sf_dir):
+    """Fields of detail pages whose elements hold others of their own tag."""
+    pages = detail_fields_b(listings.nested_pages_b(spark, sf_dir), listings.NESTED_CLASSES)
+    return pages.select(
+        "p_partkey", "product_name", "price", "avg_rating", "brand_name", "num_review", "shop_info", "category",
+        F.size("attrs").alias("n_attrs"), F.col("attrs")["Colour"].alias("colour"), F.col("attrs")["Size"].alias("size"), "product_desc",
+    )
