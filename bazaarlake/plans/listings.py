@@ -203,8 +203,8 @@ to_json(named_struct('data', named_struct('root', named_struct('fields', named_s
 )))))"""
 
 
-def page_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(url, state): one structured product page per order line, with up to five SKU entries."""
+def page_states(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """(url, state): one structured product page per order line, with up to five SKU entries; extra columns of the line too."""
     lines = order_lines(spark, sf_dir).withColumnRenamed("offer_key", "sku").withColumns(
         {
             # Every third page lists its SKUs with a prefix, so only the digits match.
@@ -216,6 +216,7 @@ def page_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(
         F.expr("concat('https://b.example/p-i', l_partkey, '.', sku, '.html')").alias("url"),
         F.expr(PAGE_EXPRESSION).alias("state"),
+        *extra,
     )
 
 
