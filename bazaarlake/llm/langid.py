@@ -59,16 +59,20 @@ def mark_presence(text: str, row: np.ndarray) -> None:
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """doc_id, lang and rank of the documents to fit on: for each language those with the lowest hashes."""
-    ids = docs.select("doc_id", "lang").withColumn("hash", F.xxhash64("doc_id"))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("hash", "doc_id"))
+    """doc_id, lang, text_hash and rank of the documents to fit on: for each language those with the lowest hashes of their ids.
+
+    Documents of one id are told apart, and ordered, by a hash of their text; what repeats in full counts once.
+    """
+    ids = docs.select("doc_id", "lang", F.xxhash64("text").alias("text_hash")).withColumn("hash", F.xxhash64("doc_id"))
+    rank = F.dense_rank().over(W.partitionBy("lang").orderBy("hash", "doc_id", "text_hash"))
     chosen = ids.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_PER_LANGUAGE)
-    return chosen.orderBy("rank", "lang").limit(SAMPLE_ROWS).select("doc_id", "lang", "rank")
+    return chosen.select("doc_id", "lang", "text_hash", "rank").distinct().orderBy("rank", "lang").limit(SAMPLE_ROWS)
 
 
 def fit(docs: DataFrame) -> Model:
     """Fit on docs (doc_id, text, lang), all of which may be learned from."""
-    chosen = write_table(sample(docs.filter("text IS NOT NULL AND lang IS NOT NULL")), "langid-sample")
+    docs = docs.filter("text IS NOT NULL AND lang IS NOT NULL")
+    chosen = write_table(sample(docs), "langid-sample")
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,9 +84,13 @@ def fit(docs: DataFrame) -> Model:
             columns = [batch.column("lang"), batch.column("rank"), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "rank", "bits"])
 
-    texts = docs.select("doc_id", "lang", "text").filter("text IS NOT NULL").join(chosen, ["doc_id", "lang"])
-    # At most SAMPLE_ROWS rows of 8 KB.
-    rows = texts.select("lang", "rank", "text").mapInArrow(presence, "lang string, rank int, bits binary").toPandas()
+    texts = docs.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.xxhash64("text").alias("_hash"), "text")
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_lang") == F.col("lang")) & (F.col("_hash") == F.col("text_hash"))
+    # A language and a rank name one text, however often it stands in the table: at most SAMPLE_ROWS rows of 8 KB.
+    texts = texts.join(chosen, same).groupBy("lang", "rank").agg(F.min("text").alias("text"))
+    rows = texts.mapInArrow(presence, "lang string, rank int, bits binary").toPandas()
+    if len(rows) > SAMPLE_ROWS:
+        raise AssertionError(f"a sample of {len(rows)} documents")
     rows = rows.sort_values(["rank", "lang", "bits"], kind="stable").reset_index(drop=True)
     languages = sorted(set(rows["lang"]))
     if not languages:
@@ -141,7 +149,10 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every row of docs (doc_id, text, lang), learned from the rest."""
+    """doc_id, held_out, lang_pred and score of every row of docs (doc_id, text, lang), learned from the rest.
+
+    Of languages with the same score the first by name is predicted. Repeated rows stay; an empty table gives an empty result.
+    """
     model = fit(docs.filter(~held_out()).select("doc_id", "text", "lang"))
     found = predict(docs, model, ["doc_id"])
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

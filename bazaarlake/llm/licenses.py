@@ -1,32 +1,43 @@
 """License scans by conditional compression.
 
-Blocks of text that speak of rights are compressed with Zstandard alone and with each license template as a raw
-dictionary. The templates that save most are compared word by word with the block; the differences decide.
+Texts are read without line breaks and comment marks. Where one speaks of rights, the words around, as many as a template has on
+either side, are compressed with Zstandard alone and with the template as a raw dictionary. Every template that saves enough is
+laid over these words; the exact differences in wording decide whether it stands there, and where it begins and ends.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEVEL = 9
-# Templates that are compared with a block, and the share of a template's words that must be found in order.
-RANKED = 3
-LEAST_MATCH = 0.8
-# Characters of a sentence; longer ones are cut down to where they speak of rights.
-LONG = 1000
-
-# Words that a license notice cannot do without, in lower case.
+# Bytes that a match has at least.
+MIN_MATCH = 4
+# Share of the compressed words that a template must save before it is laid over them. With LEAST_MATCH of its words in twice as many
+# all templates save more, see the tests.
+LEAST_REDUCTION = 0.1
+# The share of a template's words that must be found in order, and of words in between that it does not have.
+LEAST_MATCH, MOST_INSERTED = 0.8, 0.25
+# Words beyond the template's own number that are looked at on either side.
+MARGIN = 4
+
+# Words that a license notice cannot do without, in lower case; and words of these of which a text holds one.
 SIGNS = (
     "licen[sc]e", "copyright", "rights reserved", "permission is hereby granted", "permission to use, copy",
-    "redistribution and use", "public domain", "without warranty", "as is", "creative commons", "cc by", "spdx",
+    "redistribution and use", "public domain", "creative commons", "cc by", "spdx",
 )
+SIGN_WORDS = r"licen[sc]e|copyright|reserved|permission|redistribution|domain|creative|\bcc\b|spdx"
+# Marks of comments and quotes at the ends of lines.
+LINE_START = re.compile(r"(?m)^[ \t]*(?:/\*+!?|\*+/?|//+!?|#+!?|--+|;+|%+|<!--+|>+|\|+|(?:REM|rem|dnl|\.\.)(?=[ \t]|$))+[ \t]*")
+LINE_END = re.compile(r"(?m)[ \t]*(?:\*+/|--+>|\*+|#+|\|)[ \t]*$")
 
 # Wording of license notices.
 TEMPLATES = {
@@ -59,99 +70,139 @@ TEMPLATES = {
     "CC0-1.0": "This work is dedicated to the public domain.",
     "All-rights-reserved": "All rights reserved.",
 }
+SPDX = (
+    "MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later",
+    "LGPL-2.1-only", "LGPL-3.0-only", "AGPL-3.0-only", "ISC", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "Unlicense",
+)
+TEMPLATES |= {f"SPDX-{name}": f"SPDX-License-Identifier: {name}" for name in SPDX}
 
 FOUND = "doc_id long, block long, license string, reduction double, matched double, differences string, text string"
 
-SEGMENT = re.compile(r"[^\n]+?(?:(?<=[.!?])(?=\s)|(?=\n)|$)")
 WORD = re.compile(r"\w+(?:[.-]\w+)*")
+SIGN = re.compile("|".join(s.replace(" ", r"\s+") for s in SIGNS), re.I)
+
+
+class Notice(NamedTuple):
+    license: str
+    reduction: float
+    matched: float
+    differences: str
+    #: The words of the text from ``start`` to ``end`` are the notice, of which ``score`` are the template's, less those in between.
+    start: int
+    end: int
+    score: int
+
+
+def plain_text(text: str) -> str:
+    """The text without the marks that comments and quotes have at the ends of lines."""
+    return LINE_END.sub("", LINE_START.sub("", text))
 
 
-def blocks(text: str) -> list[list[str]]:
-    """Runs of sentences or lines that hold a sign of a license; a run goes on over one short sentence without.
+def fit(wanted: list[int], words: np.ndarray) -> tuple[int, int, int, int]:
+    """Where all of ``wanted`` fits best into ``words``: (start, end, equal words, words in between), with fewest edits.
 
-    Of a sentence of more than LONG characters only the surroundings of its signs count.
+    Words may be left out of either side; before the start and behind the end they cost nothing.
     """
-    sign = re.compile("|".join(SIGNS), re.I)
-    runs, gap, skipped = [], 2, []
-    for segment in SEGMENT.findall(text):
-        if sign.search(segment):
-            parts = [segment] if len(segment) <= LONG else _surroundings(segment, sign)
-            if gap > 1 or not runs:
-                runs.append(parts[:1])
-            else:
-                runs[-1] += [*skipped, parts[0]]
-            runs += [[part] for part in parts[1:]]
-            gap, skipped = 0, []
-        elif segment.strip():
-            gap, skipped = (1, [segment]) if gap == 0 and len(segment) <= LONG else (2, [])
-    return [[part for part in (" ".join(p.split()) for p in run) if part] for run in runs]
-
-
-def _surroundings(segment: str, sign: re.Pattern) -> list[str]:
-    spans = []
-    for m in sign.finditer(segment):
-        start, end = max(0, m.start() - LONG // 2), m.end() + LONG // 2
-        if spans and start <= spans[-1][1]:
-            spans[-1][1] = end
+    width = len(words) + 1
+    places = np.arange(width)
+    costs = np.zeros((len(wanted) + 1, width), np.int64)
+    for i, word in enumerate(wanted):
+        best = costs[i] + 1
+        best[1:] = np.where(words == word, np.minimum(costs[i, :-1], best[1:]), best[1:])
+        costs[i + 1] = places + np.minimum.accumulate(best - places)
+    end = at = int(costs[-1].argmin())
+    i, equal, inserted = len(wanted), 0, 0
+    while i:
+        if at and words[at - 1] == wanted[i - 1] and costs[i, at] == costs[i - 1, at - 1]:
+            i, at, equal = i - 1, at - 1, equal + 1
+        elif costs[i, at] == costs[i - 1, at] + 1:
+            i -= 1
         else:
-            spans.append([start, end])
-    return [segment[a:b] for a, b in spans]
+            at, inserted = at - 1, inserted + 1
+    return at, end, equal, inserted
 
 
 class Scanner:
     """Templates as compression dictionaries."""
 
-    def __init__(self, templates: Mapping[str, str]):
+    def __init__(self, templates: Mapping[str, str], least_reduction: float = LEAST_REDUCTION):
+        self.least_reduction = least_reduction
         self.templates = {name: WORD.findall(text.lower()) for name, text in templates.items()}
-        settings = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        self.number: dict[str, int] = {}
+        self.wanted = {name: [self.number.setdefault(w, len(self.number)) for w in words] for name, words in self.templates.items()}
+        # The fast strategy with a target length leaves what it does not match as it is: sizes of short texts can be compared.
+        settings = zstandard.ZstdCompressionParameters(
+            strategy=zstandard.STRATEGY_FAST, target_length=1, min_match=MIN_MATCH, window_log=17, hash_log=14, chain_log=6, search_log=1,
+            write_content_size=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
+        )
         self.plain = zstandard.ZstdCompressor(compression_params=settings)
-        raw = lambda text: zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        self.given = {name: zstandard.ZstdCompressor(dict_data=raw(text), compression_params=settings) for name, text in templates.items()}
-
-    def rank(self, block: str) -> list[tuple[float, str]]:
-        """Templates by the share of the compressed block that they save, highest first."""
-        data = block.lower().encode("utf-8", "surrogatepass")
-        alone = len(self.plain.compress(data))
-        return sorted(((1 - len(c.compress(data)) / alone, name) for name, c in self.given.items()), key=lambda r: (-r[0], r[1]))
-
-    def confirm(self, block: str, name: str) -> tuple[float, str]:
-        """Share of the template's words that stand in the block in order, and what differs in between."""
-        words, wanted = WORD.findall(block.lower()), self.templates[name]
-        steps = difflib.SequenceMatcher(None, wanted, words, autojunk=False).get_opcodes()
-        same = sum(i2 - i1 for kind, i1, i2, _, _ in steps if kind == "equal")
-        inner = [s for k, s in enumerate(steps) if s[0] != "equal" and not (s[0] == "insert" and k in (0, len(steps) - 1))]
-        differences = [f"-{' '.join(wanted[i1:i2])} +{' '.join(words[j1:j2])}" for _, i1, i2, j1, j2 in inner]
-        return same / len(wanted), "; ".join(differences)
+        raw = lambda words: zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        self.given = {name: zstandard.ZstdCompressor(dict_data=raw(words), compression_params=settings) for name, words in self.templates.items()}
+
+    def reduction(self, words: list[str], name: str) -> float:
+        """The share of the compressed words that a template as dictionary saves."""
+        data = " ".join(words).encode("utf-8", "surrogatepass")
+        return 1 - len(self.given[name].compress(data)) / len(self.plain.compress(data))
 
-    def scan(self, block: str) -> tuple[str, float, float, str] | None:
-        """The confirmed license of a block: of the best ranked templates the one with most words in order.
+    def at(self, words: list[str], numbers: np.ndarray, low: int, hit: int, high: int) -> Notice | None:
+        """The notice at a word, between two others: of all that are confirmed the one with most of its template's words.
 
-        Equal shares go to the longer template, then to the higher rank.
+        Equal ones go to the higher share of the template, then to the higher reduction, then to the first name.
         """
+        ranked = []
+        for name, wanted in self.wanted.items():
+            reach = len(wanted) + MARGIN
+            start, end = max(low, hit - reach), min(high, hit + reach)
+            reduction = self.reduction(words[start:end], name)
+            if reduction >= self.least_reduction:
+                ranked.append((-reduction, name, start, end))
         best = None
-        for reduction, name in self.rank(block)[:RANKED]:
-            matched, differences = self.confirm(block, name)
-            key = (matched, len(self.templates[name]))
-            if matched >= LEAST_MATCH and (best is None or key > best[0]):
-                best = (key, (name, reduction, matched, differences))
-        return best[1] if best else None
-
-
-    def scan_run(self, run: list[str]) -> list[tuple[str, tuple]]:
-        """(block, confirmed license) of a run: the run as one notice, or its sentences if their notices have more words."""
-        whole = " ".join(run)
-        found = [(whole, self.scan(whole))]
-        parts = [(part, self.scan(part)) for part in run] if len(run) > 1 else []
-        words = lambda pairs: sum(len(self.templates[f[0]]) for _, f in pairs if f)
-        best = parts if words(parts) > words(found) else found
-        return [(block, f) for block, f in best if f]
+        for reduction, name, start, end in sorted(ranked):
+            wanted = self.wanted[name]
+            a, b, equal, inserted = fit(wanted, numbers[start:end])
+            a, b = a + start, b + start
+            if equal < LEAST_MATCH * len(wanted) or inserted > max(1, MOST_INSERTED * len(wanted)) or not a <= hit < b:
+                continue
+            found = Notice(name, -reduction, equal / len(wanted), "", a, b, equal - inserted)
+            if best is None or (found.score, found.matched) > (best.score, best.matched):
+                best = found
+        return best and best._replace(differences=self.differences(words[best.start : best.end], best.license))
+
+    def differences(self, words: list[str], name: str) -> str:
+        """What a notice words otherwise than its template."""
+        wanted = self.templates[name]
+        steps = difflib.SequenceMatcher(None, wanted, words, autojunk=False).get_opcodes()
+        return "; ".join(f"-{' '.join(wanted[i1:i2])} +{' '.join(words[j1:j2])}" for kind, i1, i2, j1, j2 in steps if kind != "equal")
+
+    def notices(self, text: str) -> list[tuple[str, Notice]]:
+        """(text, notice) of every notice, in order; no word belongs to two."""
+        text = plain_text(text)
+        hits = [m.start() for m in SIGN.finditer(text)]
+        if not hits:
+            return []
+        spans = [m.span() for m in WORD.finditer(text)]
+        starts = [a for a, _ in spans]
+        words = [text[a:b].lower() for a, b in spans]
+        numbers = np.array([self.number.get(w, -1) for w in words], np.int64)
+        hits = sorted({max(0, bisect_right(starts, h) - 1) for h in hits})
+        found, low = [], 0
+        for hit in hits:
+            if hit < low:
+                continue
+            notice = self.at(words, numbers, low, hit, len(words))
+            if notice:
+                shown = " ".join(text[spans[notice.start][0] : spans[notice.end - 1][1]].split())
+                found.append((shown, notice))
+                low = notice.end
+        return found
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
-    """One row for each block of each document (doc_id, text) that holds a license notice: FOUND.
+    """One row for each license notice of each document (doc_id, text): FOUND.
 
-    ``block`` counts the document's notices from 0, ``differences`` lists what the block words otherwise. Null and empty texts and texts
-    without a notice give no row; repeated rows give theirs again. Every whole text is searched; nothing is shuffled.
+    ``block`` counts the document's notices from 0, ``differences`` lists what the notice words otherwise. Notices may be wrapped and
+    stand in comments. Null and empty texts and texts without a notice give no row; repeated rows give theirs again. Every whole
+    text is searched; nothing is shuffled.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,12 +210,10 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) ->
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                notices = (pair for run in blocks(text) for pair in scanner.scan_run(run))
-                rows += [(doc_id, number, *found, block) for number, (block, found) in enumerate(notices)]
+                rows += [(doc_id, number, *n[:4], shown) for number, (shown, n) in enumerate(scanner.notices(text))]
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.string(), pa.string()]
             names = [part.split()[0] for part in FOUND.split(", ")]
             columns = list(zip(*rows, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    signs = "(?i)" + "|".join(SIGNS)
-    return docs.select("doc_id", "text").filter(F.col("text").rlike(signs)).mapInArrow(scan, FOUND)
+    return docs.select("doc_id", "text").filter(F.col("text").rlike(f"(?i){SIGN_WORDS}")).mapInArrow(scan, FOUND)

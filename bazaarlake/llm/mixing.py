@@ -24,6 +24,8 @@ KNOTS = (0.0, 0.5, 1.0)
 SCHEDULES = ((1.5, 1.25, 0.5), (1.0, 1.0, 1.0), (0.5, 1.0, 1.5))
 # Rows of a source that one task numbers; larger sources are cut into as many ranges as they need.
 RANGE_ROWS = 2_000
+# Ranges of one source, whose sums are added up in one task.
+MOST_RANGES = 100_000
 
 
 def word_count(text: str | Column) -> Column:
@@ -31,6 +33,12 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def place_of(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """The MD5 of the doc_id by which documents are ordered; without one, of the MD5 of the text."""
+    content = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    return F.md5(F.coalesce(F.col(doc_id).cast("string"), content).cast("binary"))
+
+
 def source_targets(sized: DataFrame) -> DataFrame:
     """One row per source: source, source_rank, source_size and target.
 
@@ -99,14 +107,16 @@ def mix(
     ``positions`` has one for each copy. Documents of which nothing is taken come last, with a null position.
 
     The running word counts need no task to hold a whole source: a source is cut into ranges of its MD5 order, about
-    ``range_rows`` documents each; the sums of the ranges are added up first, documents only within a range.
-    Null texts have size 0. Null or repeated doc_ids are kept; rows that agree in doc_id and size are interchangeable,
-    the results are the same in every run. An empty table gives an empty result. Other columns are carried along.
+    ``range_rows`` documents each, or MOST_RANGES of them; the sums of the ranges are added up first, documents only within a range.
+    Null texts have size 0. Repeated doc_ids are kept; rows that agree in doc_id and size are interchangeable. Rows without a doc_id
+    take their place by a hash of all their columns. The results are the same in every run. An empty table gives an empty result. Other columns are carried along.
     """
     carried = [c for c in sized.columns if c not in ("source_size", "target", "taken", "position", "positions")]
     targets = write_table(source_targets(sized.select("source", "size")), "targets")
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) if order_key is None else order_key
-    ranges = F.ceil(F.col("_t.source_rows") / range_rows)
+    # Rows without a doc_id are spread by what they hold.
+    content = F.xxhash64(*(F.col(c) for c in carried)).cast("string")
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), content).cast("binary")) if order_key is None else order_key
+    ranges = F.least(F.ceil(F.col("_t.source_rows") / range_rows), F.lit(MOST_RANGES))
     hashed = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
     rows = (
         sized.select(*carried, key.alias("_key"))
@@ -155,7 +165,8 @@ def mix(
 
 SQL = f"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS place FROM documents),
 totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
     row_number() OVER (ORDER BY source NULLS LAST) AS source_rank FROM sized GROUP BY source),
@@ -171,7 +182,7 @@ targets AS (SELECT *, least(most, weight * max(level) OVER ()) AS target FROM le
 placed AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, t.source_rank, CAST(round(t.target) AS BIGINT) AS due,
     CAST(coalesce(sum(d.size) OVER (PARTITION BY t.source_rank
-      ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id, d.size
+      ORDER BY d.place, d.doc_id, d.size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,

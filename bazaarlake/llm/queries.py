@@ -98,8 +98,9 @@ def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in the order of their training positions."""
     docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
-    sized = write_table(docs.select("doc_id", "source", mixing.word_count("text").alias("size")), "sizes")
-    return mixing.mix(sized).select(
+    size = mixing.word_count("text").alias("size")
+    sized = write_table(docs.select("doc_id", "source", size, mixing.place_of().alias("place")), "sizes")
+    return mixing.mix(sized, F.col("place")).select(
         "doc_id", "size", "source_size", "target", "taken", F.round("position", 6).alias("position")
     )
 

@@ -64,3 +64,45 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in langid.identify(docs).collect()] == [("und", 0.0)]
     assert langid.identify(docs.limit(0)).count() == 0
+
+
+def plain_scores(train, texts, languages):
+    """One-versus-rest kernel ridge regression over sets of n-gram cells, without features or a model matrix."""
+
+    def cells(text):
+        row = np.zeros(1 << langid.HASH_BITS, np.uint8)
+        langid.mark_presence(text, row)
+        return frozenset(np.flatnonzero(row).tolist())
+
+    kernel = lambda a, b: len(a & b) / max(1, len(a) * len(b)) ** 0.5
+    known = [cells(t) for _, t, _ in train]
+    gram = np.array([[kernel(a, b) for b in known] for a in known])
+    targets = np.array([[lang == x for x in languages] for _, _, lang in train], float)
+    dual = np.linalg.solve(gram + langid.RIDGE * np.eye(len(known)), targets)
+    return np.array([[kernel(cells(t), b) for b in known] for t in texts]) @ dual
+
+
+def test_scores_equal_plain_kernel_ridge_regression(spark):
+    # As many documents as landmarks at most: the Nyström features are exact.
+    made = rows(200)
+    train = [r for r in made if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    assert len(train) <= langid.LANDMARKS
+    found = langid.identify(spark.createDataFrame(made, "doc_id long, text string, lang string")).collect()
+    languages = sorted(WORDS)
+    want = dict(zip([r[0] for r in made], plain_scores(train, [r[1] for r in made], languages), strict=True))
+    for r in found:
+        values = want[r.doc_id]
+        assert abs(r.score - min(1, max(0, values.max()))) < 1e-4
+        if abs(values[0] - values[1]) > 1e-3:
+            assert r.lang_pred == languages[int(values.argmax())]
+
+
+def test_an_id_that_many_rows_share(spark):
+    made = rows(300)
+    shared = next(i for i in range(5000, 6000) if zlib.crc32(str(i).encode()) % 4 != 2)
+    made += [(shared, f"alor beni coru {i}", "xa") for i in range(1500)] + [(shared, "alor beni", "xa")] * 500
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string").repartition(4)
+    chosen = langid.sample(docs).collect()
+    assert len(chosen) <= 2 * langid.SAMPLE_PER_LANGUAGE
+    assert len({(r.lang, r["rank"]) for r in chosen}) == len(chosen)
+    assert np.mean([r.lang_pred == lang for r, (_, _, lang) in zip(sorted(langid.identify(docs).collect(), key=lambda r: r.doc_id)[:300], made, strict=False)]) > 0.95

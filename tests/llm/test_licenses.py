@@ -1,3 +1,7 @@
+import random
+import textwrap
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,28 +24,92 @@ CASES = [
 @pytest.mark.parametrize("text, name, differences", CASES)
 def test_notice_and_its_differences(text, name, differences):
     scanner = licenses.Scanner(licenses.TEMPLATES)
-    found = [f for run in licenses.blocks(text) for _, f in scanner.scan_run(run)]
-    assert [(f[0], f[3]) for f in found] == [(name, differences)]
+    assert [(n.license, n.differences) for _, n in scanner.notices(text)] == [(name, differences)]
 
 
 @pytest.mark.parametrize("text", ["", "A driving licence is a document.", "No copyright here, as is the case.", "plain prose " * 50])
 def test_other_texts_are_left_alone(text):
     scanner = licenses.Scanner(licenses.TEMPLATES)
-    assert not [f for run in licenses.blocks(text) for f in scanner.scan_run(run)]
+    assert scanner.notices(text) == []
 
 
 def test_notices_side_by_side_are_told_apart():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     text = "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.\nAll rights reserved.\n" + licenses.TEMPLATES["MIT"]
-    found = [f[0] for run in licenses.blocks(text) for _, f in scanner.scan_run(run)]
+    found = [n.license for _, n in scanner.notices(text)]
     assert found == ["CC-BY-NC-4.0", "MIT-notice", "All-rights-reserved", "MIT"]
 
 
-def test_every_template_finds_itself_first():
+def wrapped(text, mark="", width=72):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width - len(mark), break_on_hyphens=False, break_long_words=False))
+
+
+LAYOUTS = {
+    "flat": lambda t: t,
+    "wrapped": wrapped,
+    "hash": lambda t: wrapped(t, "# "),
+    "star": lambda t: "/*\n" + wrapped(t, " * ") + "\n */\nint main;",
+    "slashes": lambda t: wrapped(t, "// "),
+    "html": lambda t: "<!-- " + wrapped(t) + " -->\n<p>",
+    "dos": lambda t: wrapped(t, "  ; ").replace("\n", "\r\n"),
+    "prose": lambda t: "Ander thon the ing " * 40 + "\n" + wrapped(t) + "\n" + "erat fomi duma coru " * 40,
+    "paragraphs": lambda t: "Title\n\n" + wrapped(t).replace(": ", ":\n\n") + "\n\nCode",
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_every_template_in_every_layout(layout):
     scanner = licenses.Scanner(licenses.TEMPLATES)
     for name, text in licenses.TEMPLATES.items():
-        assert scanner.rank(" ".join(text.split()))[0][1] == name
-        assert scanner.scan(text)[0] == name
+        found = [(n.license, n.matched, n.differences) for _, n in scanner.notices(LAYOUTS[layout](text))]
+        assert found == [(name, 1.0, "")], (layout, name)
+
+
+def altered(rng, text):
+    """The text with up to a fifth of its words left out or replaced, and some put in between."""
+    words = text.split()
+    for at in rng.sample(range(len(words)), int(rng.random() * 0.25 * len(words))):
+        words[at] = rng.choice(["", "altered", "the"])
+    for _ in range(int(rng.random() * 0.2 * len(words))):
+        words.insert(rng.randrange(len(words)), "inserted")
+    return " ".join(w for w in words if w)
+
+
+def test_the_compression_rules_out_no_template_that_fits():
+    rng = random.Random(3)
+    scanner, all_templates = licenses.Scanner(licenses.TEMPLATES), licenses.Scanner(licenses.TEMPLATES, -10.0)
+    prose = lambda: " ".join(rng.choice(["thon", "erat", "work", "license", "the", "of", "copy", "4.0", "under"]) for _ in range(rng.randrange(30)))
+    names, n = sorted(licenses.TEMPLATES), 0
+    for _ in range(400):
+        text = "\n".join(part for name in rng.sample(names, 2) for part in (prose(), wrapped(altered(rng, licenses.TEMPLATES[name]))))
+        shown = [(t, f.license, f.matched, f.differences) for t, f in scanner.notices(text)]
+        n += len(shown)
+        assert shown == [(t, f.license, f.matched, f.differences) for t, f in all_templates.notices(text)]
+    assert n > 400
+
+
+def plain_fit(wanted, words):
+    """Least edits of all stretches of words, by difflib's ratio of none: every stretch is compared by an edit table of its own."""
+    best = None
+    for a in range(len(words) + 1):
+        row = list(range(len(wanted) + 1))
+        for b in range(a, len(words) + 1):
+            if b > a:
+                new = [row[0] + 1]
+                for i, w in enumerate(wanted):
+                    new.append(min(row[i + 1] + 1, new[i] + 1, row[i] if w == words[b - 1] else 10**6))
+                row = new
+            if best is None or row[-1] < best:
+                best = row[-1]
+    return best
+
+
+def test_the_best_stretch_of_words():
+    rng = random.Random(4)
+    for _ in range(150):
+        wanted, words = [rng.randrange(6) for _ in range(rng.randrange(1, 9))], [rng.randrange(-1, 6) for _ in range(rng.randrange(0, 14))]
+        start, end, equal, inserted = licenses.fit(wanted, np.array(words, np.int64))
+        assert len(wanted) - equal + inserted == plain_fit(wanted, words) and end - start == equal + inserted
 
 
 def test_rows(spark):

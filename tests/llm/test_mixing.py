@@ -65,16 +65,17 @@ def test_targets_and_taken_words(docs, range_rows):
 
 
 def test_rows_equal_sql_and_reruns(docs, sql):
-    got = mixing.mix(sized(docs), range_rows=5).withColumn("position", F.round("position", 6))
+    placed = lambda d: d.select("doc_id", "source", mixing.word_count("text").alias("size"), mixing.place_of().alias("place"))
+    got = mixing.mix(placed(docs), F.col("place"), range_rows=5).withColumn("position", F.round("position", 6))
     names, want = sql(mixing.SQL, documents=docs.drop("target"))
     first = sorted(map(tuple, got.select(names).collect()), key=str)
     assert first == sorted(want, key=str)
-    again = mixing.mix(sized(docs.repartition(3)), range_rows=5).withColumn("position", F.round("position", 6))
+    again = mixing.mix(placed(docs.repartition(3)), F.col("place"), range_rows=5).withColumn("position", F.round("position", 6))
     assert first == sorted(map(tuple, again.select(names).collect()), key=str)
 
 
 def test_positions_rise_and_invert_the_schedule(docs):
-    rows = mixing.mix(sized(docs)).collect()
+    rows = mixing.mix(sized(docs), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))).collect()
     found = [r.position for r in rows if r.position is not None]
     assert found == sorted(found) and all(0 <= p <= 1 for p in found)
     assert all(r.position is None for r in rows[len(found) :])
@@ -97,3 +98,13 @@ def test_inverse_of_integrated_weights(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, source string, size long")
     assert mixing.mix(empty).count() == 0
+
+
+def test_rows_without_ids_are_spread(spark):
+    docs = spark.createDataFrame([(None if i % 3 else i, f"text {i} " * (i % 5), "s") for i in range(3000)], "doc_id long, text string, source string")
+    assert docs.select(mixing.place_of()).distinct().count() >= 2400
+    rows = mixing.mix(docs.select("doc_id", "text", "source", mixing.word_count("text").alias("size")), range_rows=50).collect()
+    again = mixing.mix(docs.repartition(5).select("doc_id", "text", "source", mixing.word_count("text").alias("size")), range_rows=7).collect()
+    assert len(rows) == 3000 and sorted(map(str, rows)) == sorted(map(str, again))
+    positions = [r.position for r in rows if r.position is not None]
+    assert positions == sorted(positions) and abs(sum(r.taken for r in rows) - rows[0].target) <= 0.5
