@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +49,29 @@ def dense_ids(df: DataFrame, key: str, base: Column) -> DataFrame:
     )
 
 
+# monotonically_increasing_id holds the partition above so many bits, the place within it below.
+PLACE_BITS = 33
+
+
+def ordered_ids(df: DataFrame, order: Sequence[Column], base: Column, folder: str, name: str = "id") -> DataFrame:
+    """Ids base+1, base+2, ... in any order of any columns; rows that tie get theirs in any order.
+
+    Rows are sorted by ranges and written to ``folder`` with their place in their range; the counts of the ranges, one row
+    each, add up to the first id of each range. A range of equal sort values stays together, so add columns that tell rows
+    apart where many tie.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.withColumn("_row", F.monotonically_increasing_id()).write.parquet(folder)
+    written = df.sparkSession.read.schema(df.schema.add("_row", "long")).parquet(folder)
+    part, place = F.shiftright("_row", PLACE_BITS), F.col("_row").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    counts = written.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # One row for each partition of the sort.
+    numbered = written.join(F.broadcast(offsets), part == F.col("_part"))
+    return numbered.withColumn(name, base + F.col("_offset") + place + 1).drop("_row", "_part", "_offset")
+
+
 def _range_number(value: Column, cuts: list[float]) -> Column:
     """Number of cuts below the value, by binary search over nested comparisons."""
     if not cuts:

@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from bazaarlake.ml import price_model, text_weights
+from bazaarlake.ml import price_model, text_weights, vocabulary
 from bazaarlake.operators.skew import lookup_join, read_table, spread_scan
 from bazaarlake.plans import tables, truth
 from bazaarlake.plans.registry import SQL, query, shared_folder
@@ -93,6 +93,55 @@ def ml_minmax(spark, sf_dir):
     )
 
 
+WEIGHTED = r"""WITH w AS (
+      SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '\s+$', ''), '\s')) AS term FROM documents),
+    f AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY ALL),
+    t AS (SELECT term, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS code FROM f GROUP BY term),
+    x AS (SELECT doc_id, term, code, tf, CASE WHEN n >= 2
+        THEN tf * ln(((SELECT count(*) FROM documents) + 1) / (n + 1)) ELSE 0 END AS weight FROM f JOIN t USING (term))"""
+
+
+@query(f"{WEIGHTED} SELECT doc_id, term, code, tf, round(weight, 9) AS weight FROM x")
+def ml_term_weights(spark, sf_dir):
+    """Code, count and TF-IDF weight of every word of every document, whatever the number of words."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = vocabulary.term_weights(docs, "doc_id", "text", lambda name: shared_folder(spark, name))
+    return found.withColumn("weight", F.round("weight", 9))
+
+
+@query(
+    f"""{WEIGHTED} SELECT doc_id, count(*) FILTER (weight <> 0)::INTEGER AS n_entries,
+      md5(coalesce(string_agg(code, ',' ORDER BY code) FILTER (weight <> 0), '')) AS codes_md5,
+      round(sqrt(sum(weight * weight)), 6) AS norm FROM x GROUP BY doc_id"""
+)
+def ml_sparse_vectors(spark, sf_dir):
+    """The TF-IDF vector of every document, shown by its codes and its length."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    entries = vocabulary.term_weights(docs, "doc_id", "text", lambda name: shared_folder(spark, name))
+    vectors = vocabulary.sparse_vectors(entries, "doc_id")
+    squares = F.aggregate("weights", F.lit(0.0), lambda a, w: a + w * w)
+    return vectors.select(
+        "doc_id",
+        F.size("indices").alias("n_entries"),
+        F.md5(F.array_join(F.col("indices").cast("array<string>"), ",").cast("binary")).alias("codes_md5"),
+        F.round(F.sqrt(squares), 6).alias("norm"),
+    )
+
+
+@query(
+    """WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 31 <> 0 THEN p_type END AS p_type, p_brand FROM part),
+    t AS (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS i FROM p WHERE p_type IS NOT NULL GROUP BY p_type),
+    b AS (SELECT p_brand, row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS i FROM p GROUP BY p_brand)
+    SELECT p_partkey, coalesce(t.i, (SELECT count(*) FROM t)) AS p_type_code, b.i AS p_brand_code
+    FROM p LEFT JOIN t USING (p_type) JOIN b USING (p_brand)"""
+)
+def ml_category_codes(spark, sf_dir):
+    """Categories numbered by falling frequency through a table; missing ones get a number of their own."""
+    part = read_table(spark, sf_dir, "part").selectExpr("p_partkey", "if(p_partkey % 31 = 0, null, p_type) AS p_type", "p_brand")
+    coded = vocabulary.category_codes(part, ["p_type", "p_brand"], lambda name: shared_folder(spark, name))
+    return coded.select("p_partkey", "p_type_code", "p_brand_code")
+
+
 HELD_OUT = "('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8))::BIGINT % 10 >= 8"
 
 

@@ -208,6 +208,44 @@ def retention_window(spark, sf_dir):
     return file_sinks.retention(stored, events.agg(F.max("ts")).scalar())
 
 
+@query(
+    """WITH d AS (SELECT 'logstash-' || strftime(ts, '%Y.%m.%d') AS index_name, count(*) AS n_rows, CAST(ts AS DATE) AS day
+      FROM events GROUP BY ALL),
+    o AS (SELECT 'audit-' || strftime(ts, '%Y.%m.%d') AS index_name, count(*) AS n_rows FROM events WHERE event_id % 10 = 0 GROUP BY ALL),
+    last AS (SELECT CAST(max(ts) AS DATE) AS day FROM events)
+    SELECT 'left' AS state, index_name, n_rows FROM d, last WHERE d.day >= last.day - 2
+    UNION ALL SELECT 'dropped', index_name, n_rows FROM d, last WHERE d.day < last.day - 2
+    UNION ALL SELECT 'left', index_name, n_rows FROM o"""
+)
+def retention_applied(spark, sf_dir):
+    """What a retention run drops, and what is on disk after a second run; indices with another prefix stay."""
+    folder = shared_folder(spark, "daily-table")
+    events = read_table(spark, sf_dir, "events")
+    file_sinks.write_daily_table(events, folder)
+    file_sinks.write_daily_table(events.filter("event_id % 10 = 0"), folder, prefix="audit-")
+    as_of = F.lit(events.agg(F.max("ts").alias("t")).first().t)
+    first = file_sinks.apply_retention(spark, folder, events.schema, as_of)
+    again = file_sinks.apply_retention(spark, folder, events.schema, as_of)
+    left = file_sinks.daily_counts(spark, folder, events.schema).withColumn("state", F.lit("left"))
+    dropped = first.union(again).filter("is_expired").select("index_name", "n_rows", F.lit("dropped").alias("state"))
+    return left.unionByName(dropped).select("state", "index_name", "n_rows")
+
+
+@query(
+    f"""WITH {truth.LINES} SELECT p_name AS product_name, l_extendedprice AS price, offer_key,
+      (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY p_name, l_extendedprice DESC, offer_key) AS id
+    FROM o"""
+)
+def ordered_document_ids(spark, sf_dir):
+    """Dense ids above the highest one in use, in the order of repeated names, falling prices and keys."""
+    lines = listings.order_lines(spark, sf_dir).select(
+        F.col("p_name").alias("product_name"), F.col("l_extendedprice").alias("price"), "offer_key"
+    )
+    top = ids.last_id(read_table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").scalar()
+    order = [F.col("product_name").asc(), F.col("price").desc(), F.col("offer_key").asc()]
+    return ids.ordered_ids(lines, order, top, shared_folder(spark, "ordered"))
+
+
 @query(
     """SELECT 'https://b.example/' || p_partkey AS url, p_name AS product_name, p_type AS category,
       CAST(p_size AS VARCHAR) AS sold FROM part UNION ALL
