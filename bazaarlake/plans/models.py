@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from bazaarlake.ml import price_model, text_weights, vocabulary
+from bazaarlake.ml import price_model, text_weights, tree_table, vocabulary
 from bazaarlake.operators.skew import lookup_join, read_table, spread_scan
 from bazaarlake.plans import tables, truth
 from bazaarlake.plans.registry import SQL, query, shared_folder
@@ -281,3 +281,60 @@ def ml_score_unpriced(spark, sf_dir):
     scored = price_model.predict(model, unpriced, spec)
     shown = scored.select("offer_key", F.col("prediction").isNotNull().alias("has_prediction"))
     return shown.crossJoin(price_model.rows_left_out(unpriced, scored))
+
+
+def _lines(spark, sf_dir):
+    """Order lines, written with a number of their own."""
+    folder = shared_folder(spark, "lines")
+    lines = read_table(spark, sf_dir, "lineitem").selectExpr("*", "l_extendedprice AS price", "monotonically_increasing_id() AS row")
+    lines.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+LINE_NUMBERS = price_model.Features(categories=("l_returnflag",), numerics=("l_quantity", "l_discount", "l_tax"), omitted=("name_description",))
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, model, true AS is_equal, true AS is_better_than_mean
+    FROM lineitem, (VALUES ('random_forest'), ('gbt')) AS models(model)"""
+)
+def ml_tree_walk(spark, sf_dir):
+    """Every line's prediction by a stored model and by a walk down its table of nodes; the model beats the mean as prediction."""
+    lines, parts = _lines(spark, sf_dir), []
+    for name in ("random_forest", "gbt"):
+        model, folder = price_model.train(lines, name, LINE_NUMBERS).model, shared_folder(spark, "trees")
+        model.stages[-1].write().overwrite().save(folder)
+        scored = model.transform(price_model.prepare(lines, LINE_NUMBERS))
+        scored = scored.select("row", "l_orderkey", "l_linenumber", "log_price", "log_prediction", vector_to_array("features").alias("f"))
+        path = shared_folder(spark, "scored")
+        scored.write.parquet(path)
+        scored = spark.read.parquet(path)
+        leaves = tree_table.walk(scored, "row", "f", tree_table.nodes(spark, folder), tree_table.depth(spark, folder))
+        walked = tree_table.combined(leaves, "row", name == "gbt").withColumnRenamed("prediction", "walked")
+        error = lambda p: F.avg((F.col("log_price") - p) * (F.col("log_price") - p))
+        better = scored.agg((error(F.col("log_prediction")) < F.var_pop("log_price")).alias("b")).scalar()
+        equal = F.abs(F.col("walked") - F.col("log_prediction")) <= 1e-9 * F.abs(F.col("log_prediction"))
+        joined = scored.join(walked, "row", "left")
+        parts.append(
+            joined.select(
+                "l_orderkey",
+                "l_linenumber",
+                F.lit(name).alias("model"),
+                F.coalesce(equal, F.lit(False)).alias("is_equal"),
+                better.alias("is_better_than_mean"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    """SELECT 'elasticNetParam=' || e || ', regParam=' || r AS setting, true AS is_finite, true AS is_best_the_highest
+    FROM (VALUES ('0.0'), ('0.5'), ('1.0')) AS a(e), (VALUES ('0.1'), ('0.01')) AS b(r)"""
+)
+def ml_search_scores(spark, sf_dir):
+    """The settings that a search tried, with whether the model it gave is the one with the highest mean score."""
+    trained = price_model.train(_lines(spark, sf_dir), "lr", LINE_NUMBERS, folds=3)
+    scores = spark.createDataFrame(trained.scores, "setting string, score double")
+    # Settings may tie, so scores are compared and not names.
+    best, chosen = scores.agg(F.max("score")).scalar(), scores.filter(F.col("setting") == trained.best).agg(F.max("score")).scalar()
+    return scores.select("setting", (~F.isnan("score")).alias("is_finite"), (best == chosen).alias("is_best_the_highest"))
