@@ -14,6 +14,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlake.llm.storage import write_table
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -110,6 +112,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = SITE_RULES + PATTERN_RULES,
         best("pattern", other).alias("pattern_rule"),
         best("verdict", other).alias("_other"),
     )
+    # Against a written table the rows of one host and path, such as those of all URLs without a host, can be split over tasks.
+    verdicts = write_table(verdicts, "url-verdicts")
     return parsed.join(verdicts, ["host", "path"], "left").select(
         "page_id", "host", "path", "rule", "pattern_rule", F.coalesce("_first", "_other", F.lit(default)).alias("verdict")
     )

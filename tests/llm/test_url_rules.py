@@ -44,3 +44,11 @@ def test_index_takes_the_rarest_token(spark):
 
 def test_empty_table(spark):
     assert url_rules.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_many_urls_without_a_host(spark):
+    rows = [(i, None if i % 3 == 0 else f"http://h{i % 7}.example.org/es/{i % 11}") for i in range(3000)]
+    got = url_rules.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert sorted(r.page_id for r in got) == list(range(3000))
+    assert all((r.host, r.path, r.rule) == ("", "", None) for r in got if r.page_id % 3 == 0)
+    assert all(r.verdict == "block" and r.rule == "example.org/es/" for r in got if r.page_id % 3)
