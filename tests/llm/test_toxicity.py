@@ -38,50 +38,75 @@ def test_held_out_accuracy_and_contract(spark):
     assert by[1000].score == by[1001].score and by[1002].predicted == 0 and by[1003].predicted == 1 and by[None].predicted == 1
 
 
-def test_grams_do_not_depend_on_pieces(monkeypatch):
-    alphabet, text = toxicity._alphabet(), " Ab, c?? déf퟿ -- x" * 40
-    whole = np.concatenate(list(toxicity.grams(text, alphabet, 4)))
-    ratios = np.random.default_rng(0).standard_normal(1 << 20)
-    best = toxicity.worst_window(toxicity.grams(text, alphabet, 4), ratios, 32)
-    monkeypatch.setattr(toxicity, "PIECE", 7)
-    assert (np.concatenate(list(toxicity.grams(text, alphabet, 4))) == whole).all()
-    assert math.isclose(toxicity.worst_window(toxicity.grams(text, alphabet, 4), ratios, 32), best, rel_tol=1e-9)
-
-
-def test_ratios_equal_plain_kneser_ney():
-    rng, order, d = np.random.default_rng(3), 3, 0.75
-    texts = [(rng.integers(0, 4, 60), t) for t in (0, 1, 1, 0)]
-    counts = {0: Counter(), 1: Counter()}
-    for s, t in texts:
-        for i in range(order, len(s)):
-            counts[t][tuple(int(x) for x in s[i - order : i])] += 1
-    grams = sorted(set(counts[0]) | set(counts[1]))
-    types = [{g[-n:] for g in grams} for n in range(order + 1)]
+def plain_ratios(counts, order, d):
+    """Kneser-Ney by recursion: ratio(gram) for any n-gram; counts are Counters of n-grams of the two classes."""
+    types = [{g[order - n :] for g in set(counts[0]) | set(counts[1])} for n in range(order + 1)]
+    letters = len(types[1]) + 1
+
+    def spread(cells, gram, lower):
+        context = [c for g, c in cells.items() if g[:-1] == gram[:-1]]
+        if not sum(context):
+            return lower
+        return max(cells[gram] - d, 0) / sum(context) + d * sum(c > 0 for c in context) / sum(context) * lower
 
     def shared(gram):
-        """Continuation counts of both classes, interpolated."""
         if not gram:
-            return 1 / 32
-        longer = types[len(gram) + 1]
-        count = lambda g: sum(x[1:] == g for x in longer)
-        context = [count(gram[:-1] + (w,)) for w in range(32)]
-        if not sum(context):
-            return shared(gram[1:])
-        held = sum(c > 0 for c in context)
-        return max(count(gram) - d, 0) / sum(context) + d * held / sum(context) * shared(gram[1:])
+            return 1 / letters
+        return spread(Counter(g[1:] for g in types[len(gram) + 1]), gram, shared(gram[1:]))
 
-    def model(t, gram):
-        context = [counts[t][gram[:-1] + (w,)] for w in range(32)]
-        if not sum(context):
-            return shared(gram[1:])
-        held = sum(c > 0 for c in context)
-        return max(counts[t][gram] - d, 0) / sum(context) + d * held / sum(context) * shared(gram[1:])
-
-    code = lambda g: sum(x << 5 * (order - 1 - i) for i, x in enumerate(g))
-    array = lambda t: np.array([counts[t][g] for g in grams])
-    got = toxicity.log_ratios(np.array([code(g) for g in grams]), array(0), array(1), order, d)
-    for gram in [*grams[::3], (0, 0, 9), (9, 9, 9), (1, 9, 2), (3, 2, 9)]:
-        assert math.isclose(got[code(gram)], math.log(model(1, gram) / model(0, gram)), abs_tol=1e-4)
+    return lambda gram: math.log(spread(counts[1], gram, shared(gram[1:])) / spread(counts[0], gram, shared(gram[1:])))
+
+
+def test_scores_equal_plain_kneser_ney(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 60)
+    monkeypatch.setattr(toxicity, "PIECE", 16)
+    rng, order, d, window = random.Random(3), 3, 0.75, 8
+    words = ["ab", "ba", "абв", "д7", "7", "国𝄞"]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 25)))) for i in range(30)]
+    docs += [(30, None), (31, ""), (32, "nothing seen"), (33, "AB\n\tb국")]
+    labels = [(i, rng.randrange(2)) for i in range(20)]
+    train = spark.createDataFrame(labels, "doc_id long, toxic int")
+    blocks = toxicity.pack_blocks(spark.createDataFrame(docs, "doc_id long, text string"), 60)
+    counts = toxicity.count_grams(blocks, train, order)
+    model = toxicity.log_ratios(counts, order, d)
+    got = {r.doc_id: r for r in toxicity.raw_scores(blocks, model, order, window).collect()}
+
+    def grams(text):
+        line = " " * (order - 1) + (" " + " ".join((text or "").lower().split()) + " " if (text or "").split() else " ")
+        return [line[i : i + order] for i in range(len(line) - order + 1)]
+
+    plain = {0: Counter(), 1: Counter()}
+    for i, toxic in labels:
+        plain[toxic].update(grams(docs[i][1]))
+    assert {r.gram: (r.ordinary, r.toxic) for r in counts.collect()} == {g: (plain[0][g], plain[1][g]) for g in {*plain[0], *plain[1]}}
+    ratio = plain_ratios(plain, order, d)
+    for i, text in docs:
+        values = [ratio(g) for g in grams(text)]
+        runs = [sum(values[k : k + window]) for k in range(len(values) - window + 1)] or [sum(values)]
+        assert math.isclose(got[i].whole, sum(values) / len(values), abs_tol=1e-9)
+        assert math.isclose(got[i].worst, max(runs) / window, abs_tol=1e-9)
+
+
+def test_scripts_and_digits_are_told_apart(spark):
+    rng = random.Random(8)
+    plain, bad = "дом кот мир 1234 год 中国 سلام".split(), ["дурок", "1d10t", "坏人", "سلاخ"]
+    docs = [(i, " ".join([rng.choice(plain) for _ in range(30)] + [rng.choice(bad)] * (i % 3 == 0))) for i in range(400)]
+    got = toxicity.score(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in docs], "doc_id long, toxic int"),
+    ).collect()
+    held = [r.predicted == int(r.doc_id % 3 == 0) for r in got if r.held_out]
+    assert len(held) > 50 and np.mean(held) > 0.97
+
+
+def test_texts_do_not_move_to_meet_the_model(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
+    blocks = toxicity.pack_blocks(docs, 40)
+    model = spark.createDataFrame([("text", 1.0)], "part string, ratio double")
+    plan = toxicity.raw_scores(blocks, model)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "Bucketed: true" in plan and "FlatMapCoGroupsInArrow" in plan
+    assert not any("packed" in line for line in exchanges)
 
 
 def test_nothing_to_learn_from(spark):
