@@ -65,14 +65,18 @@ def clean_store_a(raw: DataFrame, labels: V.StoreALabels = V.STORE_A) -> DataFra
     return details_a(name_and_price_a(raw), labels)
 
 
-def clean_store_b(raw: DataFrame, labels: V.StoreBLabels = V.STORE_B) -> DataFrame:
+def name_and_price_b(raw: DataFrame) -> DataFrame:
+    """The two columns that decide which offer of a product is kept."""
+    return raw.withColumns({"product_name": text.name_b(F.col("product_name")), "price": text.price_b(F.col("price"))})
+
+
+def details_b(df: DataFrame, labels: V.StoreBLabels = V.STORE_B) -> DataFrame:
+    """Every other store-B column; extra columns pass through."""
     category, shop = F.col("category"), F.col("shop_info")
     return (
-        raw.withColumns(
+        df.withColumns(
             {
-                "product_name": text.name_b(F.col("product_name")),
                 "avg_rating": numbers.to_double(F.col("avg_rating")),
-                "price": text.price_b(F.col("price")),
                 "brand_name": text.brand_b(F.col("brand_name"), labels),
                 "num_review": text.review_count_b(F.col("num_review"), labels),
                 "attrs": text.attrs_b(F.col("attrs")),
@@ -89,3 +93,35 @@ def clean_store_b(raw: DataFrame, labels: V.StoreBLabels = V.STORE_B) -> DataFra
         .withColumnsRenamed({"brand_name": "brand", "product_desc": "description"})
         .drop("shop_info", "category")
     )
+
+
+def clean_store_b(raw: DataFrame, labels: V.StoreBLabels = V.STORE_B) -> DataFrame:
+    return details_b(name_and_price_b(raw), labels)
+
+
+def heads_of_both(raw_a: DataFrame, raw_b: DataFrame, key: str = "offer_key") -> DataFrame:
+    """Name, price and key of the listings of both stores that valid_listings would keep, with their other columns as they came.
+
+    A shop name or a description is missing exactly where the text that it is cut from is missing.
+    """
+
+    def heads(named: DataFrame, store: str) -> DataFrame:
+        whole = named.filter("price IS NOT NULL AND product_name <> '' AND shop_info IS NOT NULL AND product_desc IS NOT NULL")
+        decisive = ["product_name", "price", key]
+        return whole.select(*decisive, F.struct(*(c for c in named.columns if c not in decisive)).alias(store))
+
+    both = heads(name_and_price_a(raw_a), "_raw_a"), heads(name_and_price_b(raw_b), "_raw_b")
+    return both[0].unionByName(both[1], allowMissingColumns=True)
+
+
+def details_of_both(heads: DataFrame) -> DataFrame:
+    """Rows of heads_of_both with every column of clean listings, each parsed with the rules of its own store."""
+    decisive, nested, names = [c for c in heads.columns if c not in ("_raw_a", "_raw_b")], heads, []
+    for raw, details in (("_raw_a", details_a), ("_raw_b", details_b)):
+        opened = details(nested.select("*", f"{raw}.*"))
+        own = [c for c in opened.columns if c not in nested.columns]
+        clean = F.when(F.col(raw).isNotNull(), F.struct(*own)).alias(f"_clean{raw}")
+        nested, names = opened.select(*nested.columns, clean), [*names, own]
+    places = [{c: F.col(f"_clean{raw}.{c}") for c in own} for raw, own in zip(("_raw_a", "_raw_b"), names, strict=True)]
+    every = dict.fromkeys(c for place in places for c in place)
+    return nested.select(*decisive, *(F.coalesce(*(p[c] for p in places if c in p)).alias(c) for c in every))

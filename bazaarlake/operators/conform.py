@@ -18,16 +18,18 @@ def align_stores(store_a: DataFrame, store_b: DataFrame) -> DataFrame:
     return store_a.unionByName(store_b, allowMissingColumns=True)
 
 
-def fill_with_mean(df: DataFrame, columns: Iterable[str] = schemas.MEAN_FILLED) -> DataFrame:
+def fill_with_mean(
+    df: DataFrame, columns: Iterable[str] = schemas.MEAN_FILLED, of: DataFrame | None = None
+) -> DataFrame:
     """Replace NULLs by the mean of the whole column (the result is double).
 
-    The means are one pre-aggregated row used as a scalar subquery that reads only these columns, so
+    ``of`` is the table whose means count, if df holds only some of its rows. The means are one pre-aggregated row used as a scalar subquery that reads only these columns, so
     no task sees the table and the rows themselves are not shuffled.
     """
     present = [c for c in df.columns if c in set(columns)]
     if not present:
         return df
-    means = df.agg(F.struct(*(F.avg(c).alias(c) for c in present))).scalar()
+    means = (df if of is None else of).agg(F.struct(*(F.avg(c).alias(c) for c in present))).scalar()
     return df.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), means.getField(c)) for c in present}
     )

@@ -9,7 +9,8 @@ from bazaarlake.functions import keys, numbers
 from bazaarlake.operators import catalogue, clean, conform, dedupe, ids, listing_html
 from bazaarlake.operators.skew import read_table, spread_scan
 from bazaarlake.plans import listings, truth
-from bazaarlake.plans.registry import query
+from bazaarlake.plans.registry import query, shared_folder
+from bazaarlake.sinks.seen_keys import SeenKeys
 
 
 def both_stores(spark, sf_dir):
@@ -26,9 +27,13 @@ def rounded_means(df):
 
 
 def model_rows(spark, sf_dir):
-    """Imputed, validated and filled listings with text features, one offer per product."""
-    df = conform.valid_listings(conform.fill_with_mean(both_stores(spark, sf_dir)))
-    best = dedupe.best_offer(df, tiebreak=["offer_key"])
+    """Imputed, validated and filled listings with text features, one offer per product.
+
+    Means are those of all listings. Name and price decide before any other text is parsed.
+    """
+    heads = clean.heads_of_both(listings.raw_a(spark, sf_dir), listings.raw_b(spark, sf_dir))
+    kept = clean.details_of_both(dedupe.best_offer(heads, tiebreak=["offer_key"]))
+    best = conform.fill_with_mean(kept, of=both_stores(spark, sf_dir))
     # Texts are joined for the offers that are kept, so that the shuffle carries each text once.
     best = conform.add_text_features(conform.fill_with_no_info(conform.fill_with_blank(best)))
     return best.drop(*schemas.MODEL_DROPPED)
@@ -152,6 +157,21 @@ def skip_processed(spark, sf_dir):
     return catalogue.not_processed(docs, read_table(spark, sf_dir, "labels"), "doc_id")
 
 
+@query(
+    """SELECT doc_id, source, CASE WHEN doc_id % 2 = 0 THEN 0 WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END::INTEGER AS batch
+    FROM documents"""
+)
+def skip_processed_batches(spark, sf_dir):
+    """Documents that come in three overlapping batches, each processed once: even ids, multiples of three, then all."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    seen, path = SeenKeys(spark, shared_folder(spark, "seen"), slots=1 << 24, fanout=2), shared_folder(spark, "processed")
+    for batch, coming in enumerate(("doc_id % 2 = 0", "doc_id % 3 = 0", "true")):
+        seen.missing(docs.filter(coming), "doc_id").write.parquet(f"{path}/batch={batch}")
+        seen.add(spark.read.parquet(f"{path}/batch={batch}"), "doc_id", batch)
+        seen.compact()
+    return spark.read.parquet(path)
+
+
 @query(
     """SELECT lang AS category, count(*) AS n_products, count(CASE WHEN n_chars > 500 THEN 1 END) AS n_with_url,
       count(*) = count(CASE WHEN n_chars > 500 THEN 1 END) AS is_complete
