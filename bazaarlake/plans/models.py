@@ -283,6 +283,25 @@ def ml_score_unpriced(spark, sf_dir):
     return shown.crossJoin(price_model.rows_left_out(unpriced, scored))
 
 
+@query(
+    f"""WITH {truth.BOTH}, f AS (SELECT regr_slope(log10(price), coalesce(avg_rating, 0)) AS slope,
+        regr_intercept(log10(price), coalesce(avg_rating, 0)) AS intercept FROM u WHERE price > 0)
+    SELECT offer_key, round(intercept + slope * coalesce(avg_rating, 0), 6) AS log_prediction,
+      round(pow(10, intercept + slope * coalesce(avg_rating, 0)), 2) AS prediction
+    FROM u, f WHERE price IS NULL"""
+)
+def ml_unpriced_closed_form(spark, sf_dir):
+    """Scores of all listings without a price, from least squares on one number of the priced ones."""
+    folder = shared_folder(spark, "rated-listings")
+    tables.both_stores(spark, sf_dir).select("offer_key", "price", "avg_rating").write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    spec = price_model.Features(categories=(), numerics=("avg_rating",), omitted=("name_description",))
+    scored = price_model.predict(price_model.train(rows, "lr", spec).model, rows.filter("price IS NULL").drop("price"), spec)
+    return scored.select(
+        "offer_key", F.round("log_prediction", 6).alias("log_prediction"), F.round("prediction", 2).alias("prediction")
+    )
+
+
 def _lines(spark, sf_dir):
     """Order lines, written with a number of their own."""
     folder = shared_folder(spark, "lines")
