@@ -114,6 +114,13 @@ def heads_of_both(raw_a: DataFrame, raw_b: DataFrame, key: str = "offer_key") ->
     return both[0].unionByName(both[1], allowMissingColumns=True)
 
 
+def shops_of_both(heads: DataFrame, labels: V.StoreALabels = V.STORE_A) -> DataFrame:
+    """Rows of heads_of_both with the shop's name, cut by the rules of the row's own store; nothing else is parsed."""
+    shop_a, shop_b = F.col("_raw_a.shop_info"), F.col("_raw_b.shop_info")
+    shop = F.when(F.col("_raw_a").isNotNull(), fields.shop_name_a(shop_a, labels)).otherwise(fields.shop_name_b(shop_b))
+    return heads.withColumn("shop_name", shop).drop("_raw_a", "_raw_b")
+
+
 def details_of_both(heads: DataFrame) -> DataFrame:
     """Rows of heads_of_both with every column of clean listings, each parsed with the rules of its own store."""
     decisive, nested, names = [c for c in heads.columns if c not in ("_raw_a", "_raw_b")], heads, []

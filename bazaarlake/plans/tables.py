@@ -67,8 +67,9 @@ def fill_defaults(spark, sf_dir):
 
 @query(f"WITH {truth.BOTH} SELECT offer_key, product_name, price, shop_name FROM u WHERE {truth.VALID}")
 def valid_listings(spark, sf_dir):
-    valid = conform.valid_listings(both_stores(spark, sf_dir))
-    return valid.select("offer_key", "product_name", "price", "shop_name")
+    """Whether a description is there is told by the text that it is cut from, so none is parsed."""
+    heads = clean.heads_of_both(listings.raw_a(spark, sf_dir), listings.raw_b(spark, sf_dir))
+    return clean.shops_of_both(heads).select("offer_key", "product_name", "price", "shop_name")
 
 
 TEXT_FEATURES = """concat_ws(' ', product_name, description) AS name_description,

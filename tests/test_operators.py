@@ -261,3 +261,12 @@ def test_listing_html(spark):
 def test_text_cleaning_stays_in_the_jvm(spark):
     raw = spark.createDataFrame([], schemas.RAW_A)
     assert "Python" not in plan_of(clean.clean_store_a(raw))
+
+
+def test_valid_listings_parse_no_description(spark, sf_dir):
+    from bazaarlake.plans import tables
+
+    found = tables.valid_listings(spark, sf_dir)
+    assert "<flex" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = conform.valid_listings(tables.both_stores(spark, sf_dir)).select(found.columns)
+    assert found.count() > 0 and found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
