@@ -270,3 +270,45 @@ def test_valid_listings_parse_no_description(spark, sf_dir):
     assert "<flex" not in found._jdf.queryExecution().optimizedPlan().toString()
     want = conform.valid_listings(tables.both_stores(spark, sf_dir)).select(found.columns)
     assert found.count() > 0 and found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+
+
+def test_text_rules_stay_out_of_fused_methods(spark):
+    """The JVM compiles methods of up to 8000 bytes only, and a fused stage is one method."""
+    from bazaarlake import schemas
+    from bazaarlake.operators import clean
+
+    for rows, cleaner in ((schemas.RAW_A, clean.clean_store_a), (schemas.RAW_B, clean.clean_store_b)):
+        raw = spark.createDataFrame([], rows)
+        frame = cleaner(raw.unionByName(raw).repartition(2))
+        # Adaptive plans fuse when they run, so the plan is asked without them.
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            plan = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        ruled = [line for line in plan if "regexp_replace" in line and "Project" in line]
+        assert ruled and not [line for line in ruled if line.lstrip(" :+-").startswith("*")]
+
+
+def test_free_text_equals_the_words_behind_the_marker_of_the_normalised_text(spark):
+    import random
+
+    from bazaarlake.functions import fields, text
+    from bazaarlake.vocabulary import STORE_A
+
+    draw = random.Random(7)
+    bits = ["mô", "tả", "sản", "phẩm", " ", "  ", "/", "-\n", " ", "#", "é", "ñ", "x", "mô tả sản phẩm", "mô/tả sản\nphẩm", "mô  tả"]
+    rows = [(i, "".join(draw.choices(bits, k=draw.randint(0, 9)))) for i in range(3000)] + [(3000, None)]
+    df = spark.createDataFrame(rows, "i int, t string")
+    whole = text.squeeze(F.regexp_extract(text.letters_only(F.col("t")), f"{STORE_A.description}(.*)", 1))
+    assert df.filter(whole != "").count() > 100
+    assert df.filter(~fields.free_text(F.col("t")).eqNullSafe(whole)).collect() == []
+
+
+def test_price_without_points_needs_no_decimal_rule(spark):
+    from bazaarlake.functions import text
+
+    shown = ["₫1.000 - ₫2.500", "₫7", "9.9.", ".", "", "Liên hệ", " 5 ", "₫1\n₫2", "a₫\n3", None]
+    df = spark.createDataFrame([(s,) for s in shown], "s string")
+    old = F.regexp_replace(F.replace(F.regexp_replace("s", ".*₫", ""), F.lit("."), F.lit("")), r"\.[0-9]*$", "").try_cast("bigint")
+    assert df.filter(~text.price_a(F.col("s")).eqNullSafe(old)).collect() == []
