@@ -312,3 +312,31 @@ def test_price_without_points_needs_no_decimal_rule(spark):
     df = spark.createDataFrame([(s,) for s in shown], "s string")
     old = F.regexp_replace(F.replace(F.regexp_replace("s", ".*₫", ""), F.lit("."), F.lit("")), r"\.[0-9]*$", "").try_cast("bigint")
     assert df.filter(~text.price_a(F.col("s")).eqNullSafe(old)).collect() == []
+
+
+def test_may_match_keeps_all_matches_and_repeats_and_drops_most_others(spark):
+    pages = spark.range(20_000).selectExpr("if(id % 100 = 7, null, concat('u', id % 10000)) AS url", "id AS state")
+    keys = spark.range(60).selectExpr("if(id % 6 = 0, null, concat('u', id * 50)) AS url").unionByName(spark.createDataFrame([("u1",), ("u1",)], "url string"))
+    for slots in (1 << 26, 1 << 16, 8):
+        left = skew.may_match(pages, keys, "url", slots)
+        assert left.columns == pages.columns
+        want = sorted(tuple(r) for r in pages.join(keys.distinct(), "url", "left_semi").collect())
+        assert sorted(tuple(r) for r in left.join(keys.distinct(), "url", "left_semi").collect()) == want and len(want) > 90
+        assert slots == 8 or left.count() < len(want) + 100
+    assert skew.may_match(pages, keys.filter("false"), "url").count() == 0
+
+
+def test_products_for_urls_are_written_compressed(spark, tmp_path):
+    from pathlib import Path
+
+    from bazaarlake.streaming import jobs
+
+    lines = [("url", bytearray(b"k"), bytearray(('{"url": "u%d", "category": "c"}' % i).encode())) for i in range(5)]
+    spark.createDataFrame(lines, schemas.ENVELOPE).write.parquet(str(tmp_path / "records"))
+    records = spark.readStream.schema(schemas.ENVELOPE).parquet(str(tmp_path / "records"))
+    pages = spark.createDataFrame([(f"u{i}", '{"data": {"root": {"fields": {"product": {"title": "t"}}}}}') for i in (1, 3, 9)], "url string, state string")
+    jobs.products_for_urls(records, pages, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    found = spark.read.schema("url string, category string, product_name string").json(str(tmp_path / "out")).drop("epoch")
+    assert sorted(map(tuple, found.collect())) == [("u1", "c", "t"), ("u3", "c", "t")]
+    files = [f.name for f in Path(tmp_path / "out").rglob("part-*")]
+    assert files and all(f.endswith(".json.gz") for f in files)
