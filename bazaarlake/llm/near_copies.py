@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.components import components
-from bazaarlake.llm.storage import drop_table, write_table
+from bazaarlake.llm.storage import WIDE_ROWS, drop_table, write_table
 from bazaarlake.llm.text import LOWER, WORDS, pieces
 
 SHINGLE_WORDS = 5
@@ -174,7 +174,7 @@ def _rare_pairs(prefixes: DataFrame) -> DataFrame:
 
 def _rooted(docs: DataFrame, shingle_words: int) -> DataFrame:
     """doc_id, text_hash, node and root of every row, written; linked nodes have one root."""
-    marked = write_table(_nodes(docs, shingle_words), "near-marked")
+    marked = write_table(_nodes(docs, shingle_words), "near-marked", batch_rows=WIDE_ROWS)
     one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "size", "keys")).alias("k")
     nodes = marked.groupBy("node").agg(one)
     nodes = write_table(nodes.select("node", "k.doc_id", "k.text_hash", "k.size", "k.keys"), "near-nodes")
@@ -183,8 +183,8 @@ def _rooted(docs: DataFrame, shingle_words: int) -> DataFrame:
     rows = write_table(keyed.join(several, "key"), "near-rows")
     wanted = nodes.join(rows.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "text_hash")
     wanted = write_table(wanted, "near-wanted")
-    sets = write_table(_sets(docs, wanted, shingle_words).dropDuplicates(["node"]), "near-sets")
-    links = write_table(_verified(write_table(_star_pairs(rows), "near-pairs"), sets), "near-links")
+    sets = write_table(_sets(docs, wanted, shingle_words).dropDuplicates(["node"]), "near-sets", batch_rows=WIDE_ROWS)
+    links = write_table(_verified(write_table(_star_pairs(rows), "near-pairs"), sets), "near-links", batch_rows=WIDE_ROWS)
     roots = components(links)
     known = roots.select("node", F.col("root").alias("known"))
     named = rows.join(known, "node", "left").select("key", "node", F.coalesce("known", "node").alias("root"))
@@ -193,7 +193,7 @@ def _rooted(docs: DataFrame, shingle_words: int) -> DataFrame:
     left = write_table(named.join(apart.select("key"), "key").select("node", "root").distinct(), "near-left")
     drop_table(named)
     prefixes = _rare_prefixes(left, sets)
-    more = write_table(_verified(write_table(_rare_pairs(prefixes), "near-pairs"), sets), "near-links")
+    more = write_table(_verified(write_table(_rare_pairs(prefixes), "near-pairs"), sets), "near-links", batch_rows=WIDE_ROWS)
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     named = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.llm.anchors import LENGTH, runs
-from bazaarlake.llm.storage import write_table
+from bazaarlake.llm.storage import WIDE_ROWS, write_table
 from bazaarlake.llm.suffix_array import suffix_orders
 
 # Anchors that a task combines before it passes them on.
@@ -108,7 +108,7 @@ def _numbered(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     # Texts are packed twice, for the cuts of the ranges and for the ranges; that costs less than writing them in between.
     ranges = packed.repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = ranges.mapInArrow(number, T.StructType([*kept, size, text, T.StructField("_doc", T.LongType())]))
-    numbered = write_table(numbered, "suffix-texts")
+    numbered = write_table(numbered, "suffix-texts", batch_rows=WIDE_ROWS)
     return numbered
 
 
@@ -361,9 +361,9 @@ def _compare(fragments: DataFrame, held_bytes: int) -> DataFrame:
 
 def repeats(texts: DataFrame, held_bytes: int = HELD_BYTES) -> DataFrame:
     """RESULTS of kind 0: intervals that together are all bytes of a string that also starts earlier."""
-    first = write_table(_resolve(_candidates(texts)), "suffix-runs")
+    first = write_table(_resolve(_candidates(texts)), "suffix-runs", batch_rows=WIDE_ROWS)
     requests = first.filter("kind = 1")
-    second = write_table(_compare(_fragments(texts, requests), held_bytes), "suffix-repeats")
+    second = write_table(_compare(_fragments(texts, requests), held_bytes), "suffix-repeats", batch_rows=WIDE_ROWS)
     strings = second.filter("kind = 2").select(
         "key", "fragment", "doc", F.expr("shiftleft(start, 7) | 1").alias("span")
     )

@@ -77,3 +77,20 @@ def test_thousands_of_rows_without_ids_and_with_one_id(spark):
     got = suffix_dedup.remove_repeats(docs, ["doc_id"]).collect()
     got = sorted(((r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in got), key=str)
     assert got == plain(rows)
+
+
+def test_wide_rows_reach_python_in_small_batches(spark):
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    from bazaarlake.llm import storage
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    before = spark.conf.get(storage.BATCH_SETTING)
+    found = storage.write_table(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long"), "sizes", batch_rows=storage.WIDE_ROWS)
+    assert [r.n for r in found.collect()] == [1000] * 5
+    assert spark.conf.get(storage.BATCH_SETTING) == before
