@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaarlake.operators.skew import may_match
+
 
 def best_offer(
     df: DataFrame,
@@ -34,6 +36,18 @@ def best_offer(
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
+def may_be_best(df: DataFrame, of: DataFrame, by: str = "product_name", price: str = "price") -> DataFrame:
+    """The rows of df that have the highest price that ``of`` holds for their product, and few others.
+
+    Ranking sorts whole rows in each task, so wide ones spill. Here a pass over two columns of the offers finds the highest prices
+    by hash aggregation, and rows that cannot have one are dropped before anything else of them is made, sorted or sent.
+    best_offer gives the same of what is left as of all offers. Products without any price keep their rows.
+    """
+    offer = F.xxhash64(by, price)
+    highest = of.groupBy(by).agg(F.max(price).alias(price)).select(offer.alias("_offer"))
+    return may_match(df.withColumn("_offer", offer), highest, "_offer").drop("_offer")
+
+
 def first_per_group(df: DataFrame, by: str, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows of each group in a total order (pages per category)."""
     ranked = Window.partitionBy(by).orderBy(*order)

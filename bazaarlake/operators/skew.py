@@ -36,7 +36,9 @@ def may_match(rows: DataFrame, keys: DataFrame, on: str, slots: int = 1 << 26) -
 
     def placed(key):
         slot = F.pmod(F.xxhash64(key), F.lit(slots)) + 1  # the bitmap functions count from one
-        return F.bitmap_bucket_number(slot).alias("_bitmap"), F.bitmap_bit_position(slot).alias("_place")
+        # Never null, which Spark must see: else it adds filters that make the key twice more.
+        places = {"_bitmap": F.bitmap_bucket_number(slot), "_place": F.bitmap_bit_position(slot)}
+        return [F.coalesce(c, F.lit(0)).alias(name) for name, c in places.items()]
 
     taken = keys.filter(F.col(on).isNotNull()).select(*placed(on)).groupBy("_bitmap").agg(F.bitmap_construct_agg("_place").alias("_taken"))
     byte = F.substring("_taken", F.expr("int(_place div 8) + 1"), F.lit(1))

@@ -7,6 +7,8 @@ an order line and decides ties.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,22 +88,26 @@ RAW_B_EXPRESSIONS = {
 }
 
 
-def _select(df: DataFrame, expressions: dict[str, str], *extra: str) -> DataFrame:
+def _select(df: DataFrame, expressions: dict[str, str], *extra: str, only: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The texts of the lines, or of those that ``only`` leaves of the lines with their raw product_name and price."""
+    if only is not None:
+        df = only(df.withColumns({name: F.expr(expressions[name]) for name in ("product_name", "price")})).drop("product_name", "price")
     return df.select(*extra, *(F.expr(e).alias(name) for name, e in expressions.items()))
 
 
-def raw_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw store-A listings: every order line, keyed 'a-...'."""
-    return _select(order_lines(spark, sf_dir).withColumn("offer_key", F.expr("concat('a-', offer_key)")), RAW_A_EXPRESSIONS, "offer_key")
+def raw_a(spark: SparkSession, sf_dir: str, only: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Raw store-A listings: every order line, keyed 'a-...'; ``only`` drops lines by name and price before other text is made."""
+    lines = order_lines(spark, sf_dir).withColumn("offer_key", F.expr("concat('a-', offer_key)"))
+    return _select(lines, RAW_A_EXPRESSIONS, "offer_key", only=only)
 
 
-def raw_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw store-B listings: every order line, keyed 'b-...'."""
+def raw_b(spark: SparkSession, sf_dir: str, only: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Raw store-B listings: every order line, keyed 'b-...'; ``only`` as in raw_a."""
     nation = read_table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     region = read_table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     lines = order_lines(spark, sf_dir).withColumn("offer_key", F.expr("concat('b-', offer_key)"))
     placed = lookup_join(lookup_join(lines, nation, "s_nationkey", "inner"), region, "n_regionkey", "inner")
-    return _select(placed, RAW_B_EXPRESSIONS, "offer_key")
+    return _select(placed, RAW_B_EXPRESSIONS, "offer_key", only=only)
 
 
 # Class of the element that holds each field of a store-B detail page.

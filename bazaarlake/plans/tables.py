@@ -32,7 +32,9 @@ def model_rows(spark, sf_dir):
     Means are those of all listings. Name and price decide before any other text is parsed.
     """
     heads = clean.heads_of_both(listings.raw_a(spark, sf_dir), listings.raw_b(spark, sf_dir))
-    kept = clean.details_of_both(dedupe.best_offer(heads, tiebreak=["offer_key"]))
+    best_a = listings.raw_a(spark, sf_dir, lambda named: dedupe.may_be_best(clean.name_and_price_a(named), heads))
+    best_b = listings.raw_b(spark, sf_dir, lambda named: dedupe.may_be_best(clean.name_and_price_b(named), heads))
+    kept = clean.details_of_both(dedupe.best_offer(clean.heads_of_both(best_a, best_b), tiebreak=["offer_key"]))
     best = conform.fill_with_mean(kept, of=both_stores(spark, sf_dir))
     # Texts are joined for the offers that are kept, so that the shuffle carries each text once.
     best = conform.add_text_features(conform.fill_with_no_info(conform.fill_with_blank(best)))
@@ -103,7 +105,8 @@ def model_table(spark, sf_dir):
 def dashboard_table(spark, sf_dir):
     """One document per product; descriptions are parsed only for the offers that are kept."""
     named = clean.name_and_price_a(listings.raw_a(spark, sf_dir))
-    details = clean.details_a(dedupe.best_offer(named, tiebreak=["offer_key"]))
+    best = listings.raw_a(spark, sf_dir, lambda rows: dedupe.may_be_best(clean.name_and_price_a(rows), named))
+    details = clean.details_a(dedupe.best_offer(clean.name_and_price_a(best), tiebreak=["offer_key"]))
     typed = conform.to_schema(details, schemas.with_text_column(schemas.INDEX_DOCUMENT, "offer_key"))
     return typed.drop("id")
 

@@ -91,6 +91,25 @@ def test_best_offer_limits_groups_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_rows_that_may_be_best_give_the_same_best_offers(spark):
+    offers = spark.range(3000).selectExpr(
+        "if(id % 11 = 0, null, concat('p', id % 40)) AS product_name", "if(id % 7 = 0 OR id % 40 = 5, null, id * 37 % 50021) AS price", "concat('k', id % 900) AS shop"
+    )
+    left = dedupe.may_be_best(offers, offers)
+    assert left.columns == offers.columns and left.count() < 200
+    assert tuples(dedupe.best_offer(left)) == tuples(dedupe.best_offer(offers))
+    assert dedupe.may_be_best(offers, offers.filter("false")).count() == 0
+
+
+def test_offers_are_dropped_before_their_texts_are_made_and_ranked(spark, sf_dir):
+    for name in ("dashboard_table", "model_table"):
+        plan = catalogue_of_queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        above, below = plan[plan.index("WindowGroupLimit") :].split("Join Inner, ((getbit(", 1)
+        assert "Aggregate" not in above and "bitmap_construct_agg" in below
+        # The key is made once for each row: no filter makes it again.
+        assert "isnotnull(coalesce" not in below and "isnotnull(static_invoke" not in below
+
+
 def test_fill_with_mean(spark):
     rows = spark.sql(
         "select * from values (1, cast(null as double), 3.0D), (3, null, null), (null, null, 5.0D) "
