@@ -31,9 +31,12 @@ def model_rows(spark, sf_dir):
 
     Means are those of all listings. Name and price decide before any other text is parsed.
     """
-    heads = clean.heads_of_both(listings.raw_a(spark, sf_dir), listings.raw_b(spark, sf_dir))
-    best_a = listings.raw_a(spark, sf_dir, lambda named: dedupe.may_be_best(clean.name_and_price_a(named), heads))
-    best_b = listings.raw_b(spark, sf_dir, lambda named: dedupe.may_be_best(clean.name_and_price_b(named), heads))
+    named_a, named_b = clean.name_and_price_a(listings.raw_a(spark, sf_dir)), clean.name_and_price_b(listings.raw_b(spark, sf_dir))
+    # heads_of_both drops missing names and prices; a filter on them here would make both once more for each row.
+    whole = [n.filter("shop_info IS NOT NULL AND product_desc IS NOT NULL").select("product_name", "price") for n in (named_a, named_b)]
+    offers = whole[0].unionByName(whole[1])
+    best_a = listings.raw_a(spark, sf_dir, lambda named: dedupe.may_be_best(clean.name_and_price_a(named), offers))
+    best_b = listings.raw_b(spark, sf_dir, lambda named: dedupe.may_be_best(clean.name_and_price_b(named), offers))
     kept = clean.details_of_both(dedupe.best_offer(clean.heads_of_both(best_a, best_b), tiebreak=["offer_key"]))
     best = conform.fill_with_mean(kept, of=both_stores(spark, sf_dir))
     # Texts are joined for the offers that are kept, so that the shuffle carries each text once.
