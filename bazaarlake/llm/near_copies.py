@@ -1,8 +1,10 @@
-"""Near copies by the exact Jaccard similarity of their word shingles.
+"""Near copies by covering SimHash (operator 6), with the exact Jaccard similarity of their word shingles as a check.
 
-Texts with the same set of shingles are one node. Nodes meet where BAND_ROWS minima of independently scrambled shingle
-hashes agree in one of BANDS bands. At a similarity s that happens with a chance of 1 - (1 - s^BAND_ROWS)^BANDS: 0.99994 at
-0.8, more above. Every pair that meets is linked by its exact similarity, or is connected already by such links.
+Texts with the same set of shingles are one node, which has a SimHash fingerprint. Nodes whose fingerprints differ in RADIUS bits at most
+meet under the covering masks of operator 6. At a similarity of 0.8 some 10 bits differ, so nodes also meet where BAND_ROWS
+minima of independently scrambled shingle hashes agree in one of BANDS bands. At a similarity s that happens with a chance of
+1 - (1 - s^BAND_ROWS)^BANDS: 0.99994 at 0.8, more above. Every pair that meets is linked by its exact similarity, or is
+connected already by such links.
 """
 
 from __future__ import annotations
@@ -12,10 +14,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.components import components
+from bazaarlake.llm.simhash import GROUP_ROWS, RADIUS, majority
+from bazaarlake.llm.simhash import links as covering_links
 from bazaarlake.llm.storage import WIDE_ROWS, drop_table, write_table
 from bazaarlake.llm.text import LOWER, WORDS, pieces
 
@@ -29,7 +33,7 @@ BROADCAST_ROWS = 500_000
 # Shingles that are scrambled at once.
 PART = 4096
 
-NODES = "doc_id long, text_hash long, node binary, size long, keys array<long>"
+NODES = "doc_id long, text_hash long, node binary, size long, fp long, keys array<long>"
 
 
 def shingles(text: str | None, k: int = SHINGLE_WORDS) -> np.ndarray:
@@ -81,9 +85,10 @@ def _nodes(docs: DataFrame, shingle_words: int) -> DataFrame:
             rows = []
             for text in batch.column("text"):
                 hashes = shingles(text.as_py(), shingle_words)
-                rows.append((xxhash.xxh3_128_digest(hashes.tobytes()), len(hashes), band_keys(hashes, scramblers)))
-            node, size, keys = zip(*rows, strict=True) if rows else ([], [], [])
-            arrays = [pa.array(node, pa.binary()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+                rows.append((xxhash.xxh3_128_digest(hashes.tobytes()), len(hashes), majority(hashes), band_keys(hashes, scramblers)))
+            node, size, fp, keys = zip(*rows, strict=True) if rows else ([], [], [], [])
+            signed = pa.array(np.array(fp, np.uint64).view(np.int64))
+            arrays = [pa.array(node, pa.binary()), pa.array(size, pa.int64()), signed, pa.array(keys, pa.list_(pa.int64()))]
             names = [part.split()[0] for part in NODES.split(", ")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *arrays], names=names)
 
@@ -124,12 +129,36 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_a", "_b").mapInArrow(scan, "a binary, b binary")
 
 
+def _near_size(a: str, b: str) -> Column:
+    """Whether sets of these sizes can be similar."""
+    return F.least(a, b) * LEAST[1] >= F.greatest(a, b) * LEAST[0]
+
+
+def _covered_pairs(nodes: DataFrame) -> DataFrame:
+    """Written: pairs (a, b) of nodes of near sizes that meet under the covering masks of operator 6.
+
+    Of the nodes of one fingerprint the first stands for all: the others are paired with it, and it with those of linked fingerprints.
+    """
+    nodes = nodes.filter("size > 0").select("fp", "node", "size")
+    first = write_table(nodes.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("f")).select("fp", "f.*"), "near-fingerprints")
+    linked = covering_links(first.select("fp"), RADIUS, RADIUS, GROUP_ROWS)
+    x, y = (first.select(F.col("fp").alias(c), F.col("node").alias(f"{c}_node"), F.col("size").alias(f"{c}_size")) for c in "ab")
+    columns = ["a_node", "a_size", "b_node", "b_size"]
+    equal = nodes.select(F.col("fp").alias("a"), F.col("node").alias("b_node"), F.col("size").alias("b_size")).join(x, "a")
+    met = linked.join(x, "a").join(y, "b").select(columns).unionByName(equal.filter("a_node <> b_node").select(columns))
+    met = met.filter(_near_size("a_size", "b_size"))
+    met = met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+    met = write_table(met, "near-covered")
+    drop_table(linked)
+    drop_table(first)
+    return met
+
+
 def _star_pairs(rows: DataFrame) -> DataFrame:
     """Every row (key, node, size, n) with the most central node of its key: the one whose keys have most rows in all."""
     weights = rows.groupBy("node").agg(F.sum("n").alias("weight"))
     star = rows.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", "node", "size")).alias("star"))
-    near_size = F.least("size", "star.size") * LEAST[1] >= F.greatest("size", "star.size") * LEAST[0]
-    met = rows.join(star, "key").filter((F.col("node") != F.col("star.node")) & near_size)
+    met = rows.join(star, "key").filter((F.col("node") != F.col("star.node")) & _near_size("size", "star.size"))
     return met.select(F.least("node", "star.node").alias("a"), F.greatest("node", "star.node").alias("b")).distinct()
 
 
@@ -175,16 +204,19 @@ def _rare_pairs(prefixes: DataFrame) -> DataFrame:
 def _rooted(docs: DataFrame, shingle_words: int) -> DataFrame:
     """doc_id, text_hash, node and root of every row, written; linked nodes have one root."""
     marked = write_table(_nodes(docs, shingle_words), "near-marked", batch_rows=WIDE_ROWS)
-    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "size", "keys")).alias("k")
+    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "size", "fp", "keys")).alias("k")
     nodes = marked.groupBy("node").agg(one)
-    nodes = write_table(nodes.select("node", "k.doc_id", "k.text_hash", "k.size", "k.keys"), "near-nodes")
+    nodes = write_table(nodes.select("node", "k.doc_id", "k.text_hash", "k.size", "k.fp", "k.keys"), "near-nodes")
+    covered = _covered_pairs(nodes)
     keyed = nodes.select("node", "size", F.explode("keys").alias("key"))
     several = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     rows = write_table(keyed.join(several, "key"), "near-rows")
-    wanted = nodes.join(rows.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "text_hash")
+    meeting = rows.select("node").union(covered.select("a")).union(covered.select("b")).distinct()
+    wanted = nodes.join(meeting, "node", "left_semi").select("node", "doc_id", "text_hash")
     wanted = write_table(wanted, "near-wanted")
     sets = write_table(_sets(docs, wanted, shingle_words).dropDuplicates(["node"]), "near-sets", batch_rows=WIDE_ROWS)
-    links = write_table(_verified(write_table(_star_pairs(rows), "near-pairs"), sets), "near-links", batch_rows=WIDE_ROWS)
+    pairs = write_table(covered.union(_star_pairs(rows)).distinct(), "near-pairs")
+    links = write_table(_verified(pairs, sets), "near-links", batch_rows=WIDE_ROWS)
     roots = components(links)
     known = roots.select("node", F.col("root").alias("known"))
     named = rows.join(known, "node", "left").select("key", "node", F.coalesce("known", "node").alias("root"))
@@ -197,8 +229,8 @@ def _rooted(docs: DataFrame, shingle_words: int) -> DataFrame:
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     named = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    found = write_table(marked.drop("keys", "size").join(named, "node"), "near-components")
-    for table in (marked, nodes, rows, wanted, sets, links, more, prefixes, left):
+    found = write_table(marked.drop("keys", "size", "fp").join(named, "node"), "near-components")
+    for table in (marked, nodes, covered, rows, wanted, sets, pairs, links, more, prefixes, left):
         drop_table(table)
     return found
 
@@ -209,7 +241,7 @@ def near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFram
     component_id is the smallest doc_id that links reach. Null doc_ids are never the smallest (a component of only such
     rows has a null id; ``root`` tells these apart); texts without words are one node. Repeated rows stay.
 
-    All nodes of a key are compared with its most central one, which connects dense groups by as many comparisons as they
+    Nodes that meet under the covering masks of operator 6 are compared. All nodes of a band key are compared with its most central one, which connects dense groups by as many comparisons as they
     have members. What is still apart in some key is compared by its rare shingles: similar sets share one
     of a fifth of them, so texts that have a part in common but differ otherwise are not compared, however many they are.
     """

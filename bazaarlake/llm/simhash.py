@@ -50,11 +50,20 @@ def _bits(words: list[bytes], k: int) -> tuple[np.ndarray, int]:
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
     hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], np.uint64)
+    return _ones(hashes), len(hashes)
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 255):
         part = hashes[at : at + 255].view(np.uint8).reshape(-1, 8)
         ones += np.add.reduce(np.unpackbits(part, axis=1, bitorder="little"), axis=0, dtype=np.uint8)
-    return ones, len(hashes)
+    return ones
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of hashes made already: a bit is set if it is set in over half of them. 0 if there are none."""
+    return int(np.packbits(_ones(hashes) * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:

@@ -124,3 +124,19 @@ def test_one_of_each_group_stays_with_all_columns(spark):
     kept = near_copies.keep_one(docs)
     assert kept.columns == docs.columns
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(3, base), (None, "alone here"), (8, ""), (7, "x y"), (7, "another text")])
+
+
+def test_near_fingerprints_meet_without_any_band(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "band_keys", lambda hashes, scramblers: [])
+    rng = random.Random(11)
+    rows = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(5000)}" for _ in range(3000)]
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, edited(rng, base, 1))]
+    rows += [(len(rows), "unlike any other text"), (len(rows) + 1, "nor like this one")]
+    found = {r.doc_id: r.component_id for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    fps = [near_copies.majority(near_copies.shingles(t)) for _, t in rows]
+    near = [(a, a + 1) for a in range(0, 24, 2) if (fps[a] ^ fps[a + 1]).bit_count() <= near_copies.RADIUS]
+    assert len(near) >= 6
+    assert all(found[a] == found[b] == a for a, b in near)
+    assert found[24] == 24 and found[25] == 25
