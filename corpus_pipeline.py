@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm import decontaminate, langid, mixing, suffix_dedup
 from bazaarlake.llm import near_copies as jaccard
-from bazaarlake.llm.storage import read, write_table
+from bazaarlake.llm.storage import WIDE_ROWS, read, write_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Texts whose best language scores less are in none of the learned languages. Short texts have few n-grams to score with: of a
@@ -31,11 +31,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     known = langid.predict(docs, model, COLUMNS)
     least = LEAST_LANGUAGE_SCORE * F.least(F.lit(1.0), F.octet_length("text") / SHORT_BYTES)
-    return known.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= least)).select(COLUMNS)
+    known = known.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= least)).select(COLUMNS)
+    return write_table(known, "language", batch_rows=WIDE_ROWS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 0.8 of their 5-word shingles: the one with the smallest doc_id."""
+    """One document of each group of near copies: the one with the smallest doc_id.
+
+    Documents meet under the covering SimHash masks of operator 6, and by minima beyond its 4 bits; a Jaccard similarity of 0.8 of
+    their 5-word shingles links them.
+    """
     return jaccard.keep_one(docs.select(COLUMNS))
 
 
@@ -49,7 +54,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
     items = decontaminate.split_items(read(spark, sf_dir, "benchmark", "item_id", "text"))
-    return decontaminate.without_leaks(docs.select(COLUMNS), items)
+    return write_table(decontaminate.without_leaks(docs.select(COLUMNS), items), "benchmark-leaks", batch_rows=WIDE_ROWS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
