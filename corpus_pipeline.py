@@ -29,10 +29,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.filter(~langid.held_out()))
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    known = langid.predict(docs, model, COLUMNS)
-    least = LEAST_LANGUAGE_SCORE * F.least(F.lit(1.0), F.octet_length("text") / SHORT_BYTES)
-    known = known.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= least)).select(COLUMNS)
-    return write_table(known, "language", batch_rows=WIDE_ROWS)
+    # Only the text decides, so texts are named by 128 bits and need not come back from Python.
+    named = docs.select(F.md5(F.col("text").cast("binary")).alias("name"), F.octet_length("text").alias("n_bytes"), "text")
+    found = langid.predict(named, model, ["name", "n_bytes"])
+    least = LEAST_LANGUAGE_SCORE * F.least(F.lit(1.0), F.col("n_bytes") / SHORT_BYTES)
+    unknown = found.filter((F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") < least)).select("name").distinct()
+    unknown = write_table(unknown, "unknown-language", batch_rows=WIDE_ROWS)
+    texts = docs.filter("text IS NOT NULL")
+    return texts.join(jaccard.small(unknown), F.md5(F.col("text").cast("binary")) == F.col("name"), "left_anti")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +58,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
     items = decontaminate.split_items(read(spark, sf_dir, "benchmark", "item_id", "text"))
-    return write_table(decontaminate.without_leaks(docs.select(COLUMNS), items), "benchmark-leaks", batch_rows=WIDE_ROWS)
+    return decontaminate.without_leaks(docs.select(COLUMNS), items)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@ import random
 import corpus_pipeline
 import pytest
 
-from bazaarlake.llm import mixing
+from bazaarlake.llm import langid, mixing
+from bazaarlake.llm.storage import WIDE_ROWS
 
 COLUMNS = corpus_pipeline.COLUMNS
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string"
@@ -71,3 +72,16 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_the_language_stage_gets_no_text_back_from_python(spark, sf, monkeypatch):
+    kept, batches, predict, write = [], [], langid.predict, corpus_pipeline.write_table
+    monkeypatch.setattr(langid, "predict", lambda docs, model, keep: kept.append(keep) or predict(docs, model, keep))
+    monkeypatch.setattr(
+        corpus_pipeline, "write_table", lambda df, purpose, **limits: batches.append(limits.get("batch_rows")) or write(df, purpose, **limits)
+    )
+    docs = spark.read.parquet(f"{sf[0]}/documents.parquet").select(COLUMNS)
+    found = corpus_pipeline.language(spark, docs, sf[0])
+    assert kept and "text" not in kept[0] and batches == [WIDE_ROWS]
+    ids = {r.doc_id for r in found.collect()}
+    assert found.columns == COLUMNS and not ids & {300, 301} and {0, 100, 400, None} <= ids
